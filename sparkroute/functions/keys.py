@@ -90,12 +90,18 @@ def split_by_key(df: DataFrame, key: ShardKey) -> tuple[DataFrame, DataFrame]:
     return df.where(~bad), df.where(bad).withColumn("reason", reason)
 
 
+def fail_where(bad: Column, message: Column) -> Column:
+    """A filter that keeps every row, and fails the job at the first ``bad`` one.
+
+    As a filter it stays in the plan whichever columns are read later.
+    """
+    return F.coalesce(F.when(bad, F.raise_error(message).cast("boolean")), F.lit(True))
+
+
 def require_key(df: DataFrame, key: ShardKey) -> DataFrame:
     """``df``, failing the job at the first row whose key is not complete."""
-    names = ", ".join(key.names)
-    first = key.names[0]
-    checked = F.when(key.missing(), F.raise_error(F.lit(f"row without shard key ({names})")))
-    return df.withColumn(first, F.coalesce(checked.cast(df.schema[first].dataType), F.col(first)))
+    message = F.lit(f"row without shard key ({', '.join(key.names)})")
+    return df.where(fail_where(key.missing(), message))
 
 
 def doc_bytes(df: DataFrame, columns: list[str] | None = None) -> Column:

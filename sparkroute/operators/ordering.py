@@ -70,26 +70,29 @@ def numbered(
     window (both are by chunk and slot), so the rows are shuffled once.
     """
     slot = F.pmod(spread, F.lit(slots).cast("bigint")).cast("int")
-    base = df.withColumn("__slot", slot)
+    # never NULL, so the join loses no row and needs no filter that repeats the hash
+    base = df.withColumn("__slot", F.coalesce(slot, F.lit(0)))
+    base = base.withColumn("__chunk", F.coalesce(F.col(CHUNK), F.lit(-1).cast("bigint")))
+    group = ["__chunk", "__slot"]
     totals = [F.count("*").alias("__rows")]
     if size is not None:
         base = base.withColumn("__size", size)
         totals.append(F.sum("__size").alias("__bytes"))
-    earlier = Window.partitionBy(CHUNK).orderBy("__slot").rowsBetween(
+    earlier = Window.partitionBy("__chunk").orderBy("__slot").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    sums = base.groupBy(CHUNK, "__slot").agg(*totals)
+    sums = base.groupBy(*group).agg(*totals)
     before = [F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__rows_before")]
     if size is not None:
         before.append(F.coalesce(F.sum("__bytes").over(earlier), F.lit(0)).alias("__bytes_before"))
-    offsets = sums.select(CHUNK, "__slot", *before)
+    offsets = sums.select(*group, *before)
 
-    within = Window.partitionBy(CHUNK, "__slot").orderBy(*order)
+    within = Window.partitionBy(*group).orderBy(*order)
     placed = base.withColumn("__row", F.row_number().over(within))
     if size is not None:
         upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         placed = placed.withColumn("__upto", F.sum("__size").over(upto))
-    joined = placed.join(offsets.hint("merge"), [CHUNK, "__slot"])
+    joined = placed.join(offsets.hint("merge"), group)
     joined = joined.withColumn("row_no", (F.col("__rows_before") + F.col("__row")).cast("bigint"))
     if size is not None:
         upto = F.col("__bytes_before") + F.col("__upto")

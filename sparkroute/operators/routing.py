@@ -45,7 +45,8 @@ def hash_chunk(h: Column, n: int) -> Column:
     even = F.lit(1).cast("bigint") - h.bitwiseAND(F.lit(1).cast("bigint"))
     distance = F.shiftright(h, 1) - F.lit(first >> 1) - even
     above = F.least(_div(distance, half) + 1, F.lit(n - 1).cast("bigint"))
-    return F.when(h < F.lit(first), F.lit(0).cast("bigint")).otherwise(above)
+    low, high = h < F.lit(first), h >= F.lit(first)  # neither for a NULL hash, which has no chunk
+    return F.when(low, F.lit(0).cast("bigint")).when(high, above)
 
 
 def _div(a: Column, b: int) -> Column:
@@ -140,15 +141,16 @@ def _route_fenced(df, table, texts, dtypes, fields, out, max_inline):
     fence = bisect(_literal_bounds(rows, dtypes), len(rows), fields)
 
     columns = [f"b{i}" for i in range(len(fields))]
-    run = F.array_sort(F.collect_list(F.struct(CHUNK, *columns)))
+    run = F.array_sort(F.collect_list(F.struct(CHUNK, *columns)))  # at most ``stride`` bounds
     runs = table.groupBy(_div(F.col(CHUNK), stride).cast("int").alias("__fence"))
     runs = runs.agg(run.alias("__run"))
+    runs = runs.select("__fence", *[F.col("__run")[c].alias(f"__{c}") for c in columns])
     if n <= FENCED_BROADCAST_CHUNKS:
         runs = F.broadcast(runs)
     df = df.withColumn("__fence", fence).join(runs, "__fence", "left")
-    within = bisect([F.col("__run")[c] for c in columns], stride, fields)
+    within = bisect([F.col(f"__{c}") for c in columns], stride, fields)
     place = F.col("__fence").cast("bigint") * stride + F.coalesce(within, F.lit(0))
-    return df.withColumn(out, place).drop("__fence", "__run")
+    return df.withColumn(out, place).drop("__fence", *[f"__{c}" for c in columns])
 
 
 def key_fields(key: ShardKey | Fields | str) -> Fields:

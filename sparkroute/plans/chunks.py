@@ -14,6 +14,7 @@ from sparkroute.functions.hashing import INT64_MAX
 from sparkroute.functions.keys import ASC, DESC
 from sparkroute.operators.routing import CHUNK, Fields, bound_part, hash_shard, route
 from sparkroute.operators.small import broadcast_if_small
+from sparkroute.session import freeze
 
 # Fixed values of the planning rules.
 CHUNKS_PER_SHARD = 10
@@ -88,18 +89,20 @@ def unordered_bounds(chunks: DataFrame) -> DataFrame:
 
 
 def chunks_from_splits(splits: DataFrame, key: str, shard: str) -> DataFrame:
-    """Chunk table from explicit split keys, all on one shard, with an open top."""
+    """Chunk table from explicit split keys, all on one shard, with an open top.
+
+    The table is written once: routing, reports and placement each read it again.
+    """
     spark = splits.sparkSession
     keys = splits.select(F.col(key).alias("max_key")).where("max_key IS NOT NULL").distinct()
     top = spark.range(1).select(F.lit(None).cast(keys.schema["max_key"].dataType).alias("max_key"))
-    return chunk_ranges(keys.union(top).withColumn("shard", F.lit(shard)))
+    return freeze(chunk_ranges(keys.union(top).withColumn("shard", F.lit(shard))))
 
 
 def place_round_robin(chunks: DataFrame, shards: list[str]) -> DataFrame:
     """The same chunks dealt out to ``shards``: top chunk first, then downwards in turn."""
     names = F.array(*[F.lit(s) for s in sorted(shards)])
-    last = chunks.agg(F.max(CHUNK)).first()[0]
-    k = F.lit(last) - F.col(CHUNK)
+    k = F.max(CHUNK).over(Window.partitionBy(F.lit(0))) - F.col(CHUNK)
     place = F.when(k == 0, F.lit(0)).otherwise(F.pmod(k - 1, F.lit(len(shards))))
     return chunks.withColumn("shard", F.get(names, place.cast("int"))).select(*COLUMNS)
 

@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkroute.functions.extjson import normalize_ext_json
-from sparkroute.functions.keys import HASH_COLUMN, ShardKey, doc_bytes, require_key, split_by_key
+from sparkroute.functions.keys import (
+    HASH_COLUMN,
+    ShardKey,
+    doc_bytes,
+    fail_where,
+    require_key,
+    split_by_key,
+)
 from sparkroute.operators.ids import ID, add_id
 from sparkroute.operators.ordering import file_plan, spread_slots
 from sparkroute.operators.routing import CHUNK, route, route_hash
@@ -28,6 +35,7 @@ from sparkroute.sinks.stats import append_stats
 from sparkroute.sinks.tables import placed, write_chunks
 from sparkroute.sources.bson import read_bson
 from sparkroute.sources.collection import read_dump
+from sparkroute.sources.files import is_empty_source
 from sparkroute.sources.json_lines import parse_documents, read_lines
 
 DEFAULT_KEY = {ID: "hashed"}
@@ -172,33 +180,37 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def read_source(
+    spark: SparkSession, folder: str, input_type: str = "json", file_regex: str | None = None
+) -> DataFrame:
+    """``value`` and ``file`` of every line of JSON, or of every BSON document as such a line."""
+    if input_type == "json":
+        return read_lines(spark, folder, file_regex)
+    if input_type == "bson":
+        return read_bson(spark, folder, file_regex).select("value", "file")
+    raise ValueError(f"bad input type: {input_type}; json or bson")
+
+
 def read_documents(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType,
-    input_type: str = "json",
-    file_regex: str | None = None,
-    with_id: bool = True,
+    lines: DataFrame, schema: T.StructType, with_id: bool = True, fail: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed rows of a folder of JSON lines or BSON files, and the quarantine of the rest.
+    """Typed rows of lines of extended JSON, and the quarantine of the rest.
 
-    With ``with_id`` documents that lack ``_id`` get one made from their content.
+    With ``with_id`` documents that lack ``_id`` get one made from their content. With
+    ``fail`` the first line for the quarantine fails the job that reads the rows.
     """
-    if input_type == "json":
-        lines = read_lines(spark, folder, file_regex)
-    elif input_type == "bson":
-        lines = read_bson(spark, folder, file_regex).select("value", "file")
+    typed = normalize_ext_json(parse_documents(lines), schema)
+    odd = F.concat(F.lit("bad type: "), F.array_join("bad_fields", ","))
+    reason = F.coalesce(F.col("reason"), F.when(F.size("bad_fields") > 0, odd))
+    typed = typed.withColumn("reason", reason).drop("bad_fields")
+    if fail:
+        message = F.concat(F.col("reason"), F.lit(" in "), F.col("file"))
+        good = typed.where(fail_where(F.col("reason").isNotNull(), message)).drop("reason")
     else:
-        raise ValueError(f"bad input type: {input_type}; json or bson")
-    parsed = parse_documents(lines)
-    bad = parsed.where("reason IS NOT NULL").select("file", "value", "reason")
-    typed = normalize_ext_json(parsed.where("reason IS NULL").drop("reason"), schema)
-    odd = typed.where(F.size("bad_fields") > 0)
-    reason = F.concat(F.lit("bad type: "), F.array_join("bad_fields", ","))
-    bad = bad.union(odd.select("file", "value", reason.alias("reason")))
-    good = typed.where(F.size("bad_fields") == 0).drop("bad_fields")
+        good = typed.where("reason IS NULL").drop("reason")
     if with_id and ID in schema.names:
         good = add_id(good, ["value", "file"])
+    bad = typed.where("reason IS NOT NULL").select("file", "value", "reason")
     return good.drop("value", "file"), bad
 
 
@@ -221,16 +233,13 @@ def load_folder(
     """
     key = ShardKey.parse(key)
     make_id = with_id and ID in key.names
-    good, bad = read_documents(spark, folder, schema, input_type, file_regex, make_id)
-    if good.isEmpty() and bad.isEmpty():
+    lines = read_source(spark, folder, input_type, file_regex)
+    if is_empty_source(lines):
         return None
+    good, bad = read_documents(lines, schema, make_id, fail=quarantine is None)
     if quarantine:
         bad.write.mode("append").parquet(f"{quarantine}/lines")
         options["quarantine"] = f"{quarantine}/rows"
-    else:
-        first = bad.limit(1).collect()
-        if first:
-            raise ValueError(f"{first[0].reason} in {first[0].file}: {first[0].value[:200]}")
     return load(good, target, key, input_type=input_type, **options)
 
 
