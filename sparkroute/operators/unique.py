@@ -30,10 +30,21 @@ def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 
 def set_aside(df: DataFrame, key: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The first row of each key, and all the others as a quarantine with a reason."""
+    """The first row of each key, and all the others as a quarantine with a reason.
+
+    Equal rows are one row of the quarantine with their count ``n_rows``: they combine on
+    the map side, so copies of a hot key stay few on the way.
+    """
     first = keep_first(df, key, order)
-    rest = df.exceptAll(first).withColumn("reason", F.lit("duplicate key"))
-    return first, rest
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("__n"))
+    kept = first.select(
+        *[F.col(c).alias(f"__{c}") for c in key], F.struct(*df.columns).alias("__first")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
+    is_first = F.struct(*df.columns).eqNullSafe(F.col("__first"))
+    left = (F.col("__n") - is_first.cast("bigint")).alias("n_rows")
+    rest = counted.join(kept, same).select(*df.columns, left).where("n_rows > 0")
+    return first, rest.withColumn("reason", F.lit("duplicate key"))
 
 
 def enforce_unique(

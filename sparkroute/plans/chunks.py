@@ -2,7 +2,7 @@
 
 A chunk table has the columns ``chunk_id`` (0, 1, ... in key order), ``min_key`` and
 ``max_key`` (half-open range, NULL for an open end) and ``shard``. These tables hold one
-row per chunk, not per document; they are the only tables ordered in one piece here.
+row per chunk, not per document. A table of proven small size is numbered in one piece.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from sparkroute.functions.hashing import INT64_MAX
 from sparkroute.functions.keys import ASC, DESC
 from sparkroute.operators.routing import CHUNK, Fields, bound_part, hash_shard, route
-from sparkroute.operators.small import broadcast_if_small
+from sparkroute.operators.ordering import positioned
+from sparkroute.operators.small import broadcast_if_small, is_small
 from sparkroute.session import freeze
 
 # Fixed values of the planning rules.
@@ -61,48 +62,53 @@ def chunk_ranges(bounds: DataFrame, fields: Fields | None = None) -> DataFrame:
     for name, kind in fields:
         part = bound_part("max_key", fields, name)
         parts.append(part.desc() if kind == DESC else part.asc())
-    by_key = Window.orderBy(F.col("max_key").isNull(), *parts)
-    return bounds.select(
-        (F.row_number().over(by_key) - 1).cast("bigint").alias(CHUNK),
-        F.lag("max_key").over(by_key).alias("min_key"),
-        "max_key",
-        "shard",
-    )
+    order = [F.col("max_key").isNull().asc(), *parts]
+    if is_small(bounds):
+        by_key = Window.orderBy(*order)
+        return bounds.select(
+            (F.row_number().over(by_key) - 1).cast("bigint").alias(CHUNK),
+            F.lag("max_key").over(by_key).alias("min_key"),
+            "max_key",
+            "shard",
+        )
+    placed = positioned(bounds, order, CHUNK)
+    lower = placed.select((F.col(CHUNK) + 1).alias(CHUNK), F.col("max_key").alias("min_key"))
+    return placed.join(lower, CHUNK, "left").select(*COLUMNS)
 
 
 def unordered_bounds(chunks: DataFrame) -> DataFrame:
     """Chunks that break the ascending, gap-free order; empty for a sound chunk table."""
-    by_id = Window.orderBy(CHUNK)
-    checked = chunks.select(
-        *COLUMNS,
-        F.lag("max_key").over(by_id).alias("previous_max"),
-        F.lag(CHUNK).over(by_id).alias("previous_id"),
+    previous = chunks.select(
+        (F.col(CHUNK) + 1).alias(CHUNK),
+        F.col("max_key").alias("previous_max"),
+        F.lit(True).alias("follows"),
     )
-    first = F.col("previous_id").isNull()
+    first = F.col("follows").isNull()
     broken = (
-        (first & F.col("min_key").isNotNull())
+        (first & ((F.col(CHUNK) != 0) | F.col("min_key").isNotNull()))
         | (~first & ~F.col("min_key").eqNullSafe(F.col("previous_max")))
         | (~first & F.col("min_key").isNull())
         | (F.col("min_key") >= F.col("max_key"))
     )
-    return checked.where(broken).select(*COLUMNS)
+    return chunks.join(previous, CHUNK, "left").where(broken).select(*COLUMNS)
 
 
 def chunks_from_splits(splits: DataFrame, key: str, shard: str) -> DataFrame:
     """Chunk table from explicit split keys, all on one shard, with an open top.
 
-    The table is written once: routing, reports and placement each read it again.
+    The split keys are written once: routing, reports and placement each read them again.
     """
     spark = splits.sparkSession
-    keys = splits.select(F.col(key).alias("max_key")).where("max_key IS NOT NULL").distinct()
+    keys = splits.select(F.col(key).alias("max_key")).where("max_key IS NOT NULL")
+    keys = freeze(keys.distinct())
     top = spark.range(1).select(F.lit(None).cast(keys.schema["max_key"].dataType).alias("max_key"))
-    return freeze(chunk_ranges(keys.union(top).withColumn("shard", F.lit(shard))))
+    return chunk_ranges(keys.union(top).withColumn("shard", F.lit(shard)))
 
 
 def place_round_robin(chunks: DataFrame, shards: list[str]) -> DataFrame:
     """The same chunks dealt out to ``shards``: top chunk first, then downwards in turn."""
     names = F.array(*[F.lit(s) for s in sorted(shards)])
-    k = F.max(CHUNK).over(Window.partitionBy(F.lit(0))) - F.col(CHUNK)
+    k = F.lit(chunks.count() - 1) - F.col(CHUNK)
     place = F.when(k == 0, F.lit(0)).otherwise(F.pmod(k - 1, F.lit(len(shards))))
     return chunks.withColumn("shard", F.get(names, place.cast("int"))).select(*COLUMNS)
 
@@ -199,12 +205,12 @@ def tag_violations(chunks: DataFrame, tag_ranges: DataFrame, shards: DataFrame)
         .groupBy("min_key")
         .agg(F.max("tag").alias("tag"))
     )
-    by_key = Window.orderBy(F.col("min_key").asc_nulls_first())
-    zones = edges.select(
-        (F.row_number().over(by_key) - 1).cast("bigint").alias(CHUNK),
-        F.lead("min_key").over(by_key).alias("max_key"),
-        "tag",
-    )
+    edges = freeze(edges)
+    tops = edges.where("min_key IS NOT NULL").select(F.col("min_key").alias("max_key"))
+    tops = tops.union(spark.range(1).select(F.lit(None).cast(dtype))).withColumn("shard", F.lit(""))
+    zones = chunk_ranges(tops)
+    tags = edges.select(F.col("min_key").alias("__edge"), "tag")
+    zones = zones.join(tags, F.col("min_key").eqNullSafe(F.col("__edge")), "left")
     pieces = route(ends, chunks, "piece", "owner")
     pieces = route(pieces, zones, "piece", "zone")
     zone_tags = zones.select(F.col(CHUNK).alias("zone"), "tag").where("tag IS NOT NULL")

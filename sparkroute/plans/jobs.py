@@ -122,6 +122,7 @@ def load(
     good, aside = rows, None
     if quarantine:
         good, aside = split_by_key(rows, key)
+        aside = aside.withColumn("n_rows", F.lit(1).cast("bigint"))
     else:
         good = require_key(rows, key)
     if unique:
@@ -144,7 +145,7 @@ def load(
     report = Report(table)
     if aside is not None:
         aside.write.mode("append").parquet(quarantine)
-        report.rows_quarantined = aside.count()
+        report.rows_quarantined = aside.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     if check or stats:
         report.rows_in = rows.count()
         report.rows_out = spark.read.parquet(target).count() - before

@@ -77,13 +77,17 @@ def dedup_first(spark, sf_dir):
 @query(
     sql=f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-  'duplicate key' AS reason
-FROM (SELECT *, {FIRST_SQL} AS n FROM lineitem) WHERE n > 1
+  'duplicate key' AS reason, sum(n_rows)::BIGINT AS n_rows
+FROM (
+  SELECT * EXCLUDE (n), count(*) AS n_rows
+  FROM (SELECT *, {FIRST_SQL} AS n FROM lineitem) WHERE n > 1 GROUP BY ALL)
+GROUP BY ALL
 """
 )
 def dup_quarantine(spark, sf_dir):
     _, rest = set_aside(table(spark, sf_dir, "lineitem"), LINE_KEY, LINE_ORDER)
-    return rest.select(*LINE_KEY, *LINE_ORDER, "reason")
+    few = rest.groupBy(*LINE_KEY, *LINE_ORDER, "reason")
+    return few.agg(F.sum("n_rows").alias("n_rows"))
 
 
 @query(sql="SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")

@@ -142,3 +142,12 @@ def test_round_robin(spark):
     chunks = make_chunks(spark, [(1, "z"), (2, "z"), (3, "z"), (None, "z")])
     placed = place_round_robin(chunks, ["b", "a"]).orderBy("chunk_id").collect()
     assert [r.shard for r in placed] == ["a", "b", "a", "a"]
+
+
+def test_a_large_table_is_numbered_alike(spark, monkeypatch):
+    bounds = [(k * 3, "ab"[k % 2]) for k in range(500)] + [(None, "a")]
+    small = make_chunks(spark, bounds)
+    monkeypatch.setattr("sparkroute.plans.chunks.is_small", lambda df: False)
+    large = make_chunks(spark, bounds)
+    assert large.count() == 501 and large.exceptAll(small).count() == 0
+    assert unordered_bounds(large).count() == 0
