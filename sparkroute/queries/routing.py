@@ -82,8 +82,10 @@ def route_by_range(spark, sf_dir):
 @query(
     sql=f"""
 SELECT l_orderkey, l_partkey, l_linenumber, c.chunk_id
-FROM lineitem JOIN {ranges_sql('''(SELECT p_partkey AS max_key, '' AS shard FROM part
-  UNION ALL SELECT NULL, '')''')} c ON {in_chunk_sql('l_partkey')}
+FROM lineitem ASOF JOIN (
+  SELECT chunk_id, coalesce(min_key, -9223372036854775808) AS low
+  FROM {ranges_sql('''(SELECT p_partkey AS max_key, '' AS shard FROM part
+  UNION ALL SELECT NULL, '')''')}) c ON l_partkey >= c.low
 """
 )
 def route_many_chunks(spark, sf_dir):

@@ -53,3 +53,8 @@ def read_chunk_table(spark: SparkSession, path: str, only: list[int] | None = No
     """A written table; ``only`` prunes it to some chunks before any file is opened."""
     df = spark.read.parquet(path)
     return df if only is None else df.where(df[CHUNK].isin(only))
+
+
+def write_external(df: DataFrame, fmt: str, mode: str = "append", **options) -> None:
+    """The same rows through another connector; ``options`` (durability, batch size) are its own."""
+    df.write.format(fmt).mode(mode).options(**options).save()

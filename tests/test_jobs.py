@@ -11,7 +11,7 @@ from sparkroute.operators.verify import compare_counts, diff_rows, reconcile, sa
 from sparkroute.plans.jobs import dump, load, load_folder, reshard, restore
 from sparkroute.session import scratch_dir
 from sparkroute.sinks.stats import append_stats, read_stats
-from sparkroute.sinks.tables import read_chunk_table, replace_chunks, write_chunks
+from sparkroute.sinks.tables import append_table, read_chunk_table, replace_chunks, write_chunks, write_external
 from sparkroute.streaming.load import read_file_stream, stream_load
 
 SHARDS = ["a", "b"]
@@ -232,3 +232,15 @@ def test_stream_by_range(spark, load_table):
     query.awaitTermination()
     counts = spark.read.parquet(target).groupBy("chunk_id").count().collect()
     assert {r.chunk_id: r["count"] for r in counts} == {0: 10, 1: 490, 2: 500}
+
+
+def test_other_targets(spark, orders):
+    path = scratch_dir(spark, "json")
+    write_external(orders, "json", path=path)
+    assert spark.read.json(path).count() == 1500
+    spark.sql("DROP TABLE IF EXISTS chunked_orders")
+    rows = orders.withColumn("chunk_id", F.lit(1))
+    append_table(rows, "chunked_orders")
+    append_table(rows, "chunked_orders")
+    assert spark.table("chunked_orders").count() == 3000
+    spark.sql("DROP TABLE chunked_orders")
