@@ -82,45 +82,71 @@ def spread_slots(df: DataFrame, rows_per_slot: int) -> int:
     return max(1, -(-df.count() // rows_per_slot))
 
 
+def _slotted(df: DataFrame, spread: Column, slots: int) -> DataFrame:
+    """``df`` with its internal group columns: chunk, and slot by the hash ``spread``.
+
+    Neither is ever NULL, so a join on them loses no row and needs no filter that would
+    repeat the hash.
+    """
+    slot = F.pmod(spread, F.lit(slots).cast("bigint")).cast("int")
+    return df.withColumn("__slot", F.coalesce(slot, F.lit(0))).withColumn(
+        "__chunk", F.coalesce(F.col(CHUNK), F.lit(-1).cast("bigint"))
+    )
+
+
+SLOT = ["__chunk", "__slot"]
+
+
+def slot_totals(
+    df: DataFrame, spread: Column, slots: int, size: Column | None = None
+) -> DataFrame:
+    """Rows (and bytes, and the largest size) per chunk and slot; combines on the map side."""
+    totals = [F.count("*").alias("__rows")]
+    if size is not None:
+        df = df.withColumn("__size", size)
+        totals += [F.sum("__size").alias("__bytes"), F.max("__size").alias("__largest")]
+    return _slotted(df, spread, slots).groupBy(*SLOT).agg(*totals)
+
+
 def numbered(
-    df: DataFrame, order: list, spread: Column, slots: int, size: Column | None = None
+    df: DataFrame,
+    order: list,
+    spread: Column,
+    slots: int,
+    size: Column | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``row_no`` (and ``bytes_to``, the running bytes) within each chunk.
 
     For results where rows only need some fixed order in the chunk. Each chunk is parted
-    into ``slots`` by the hash ``spread``; the order is slot first, then ``order``. Slot
-    totals are combined on the map side. The join to them rides on the exchange of the
-    window (both are by chunk and slot), so the rows are shuffled once.
+    into ``slots`` by the hash ``spread``; the order is slot first, then ``order``. The join
+    to the slot totals rides on the exchange of the window (both are by chunk and slot), so
+    the rows are shuffled once.
     """
-    slot = F.pmod(spread, F.lit(slots).cast("bigint")).cast("int")
-    # never NULL, so the join loses no row and needs no filter that repeats the hash
-    base = df.withColumn("__slot", F.coalesce(slot, F.lit(0)))
-    base = base.withColumn("__chunk", F.coalesce(F.col(CHUNK), F.lit(-1).cast("bigint")))
-    group = ["__chunk", "__slot"]
-    totals = [F.count("*").alias("__rows")]
-    if size is not None:
-        base = base.withColumn("__size", size)
-        totals.append(F.sum("__size").alias("__bytes"))
+    if totals is None:
+        totals = slot_totals(df, spread, slots, size)
     earlier = Window.partitionBy("__chunk").orderBy("__slot").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    sums = base.groupBy(*group).agg(*totals)
     before = [F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__rows_before")]
     if size is not None:
         before.append(F.coalesce(F.sum("__bytes").over(earlier), F.lit(0)).alias("__bytes_before"))
-    offsets = sums.select(*group, *before)
+    offsets = totals.select(*SLOT, *before)
 
-    within = Window.partitionBy(*group).orderBy(*order)
-    placed = base.withColumn("__row", F.row_number().over(within))
+    within = Window.partitionBy(*SLOT).orderBy(*order)
+    made = ["row_no"]
+    base = df if size is None else df.withColumn("__size", size)
+    placed = _slotted(base, spread, slots).withColumn("__row", F.row_number().over(within))
     if size is not None:
         upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         placed = placed.withColumn("__upto", F.sum("__size").over(upto))
-    joined = placed.join(offsets.hint("merge"), group)
+    joined = placed.join(offsets.hint("merge"), SLOT)
     joined = joined.withColumn("row_no", (F.col("__rows_before") + F.col("__row")).cast("bigint"))
     if size is not None:
+        made.append("bytes_to")
         upto = F.col("__bytes_before") + F.col("__upto")
         joined = joined.withColumn("bytes_to", upto.cast("bigint"))
-    return joined.select(*df.columns, "row_no", *(["bytes_to"] if size is not None else []))
+    return joined.select(*df.columns, *made)
 
 
 def batches(
@@ -138,12 +164,13 @@ def file_plan(
     """Adds ``file_no``: files of at most ``limit`` bytes per chunk, numbered per chunk.
 
     A file starts a new stretch of ``limit`` less the largest document, so the document
-    across its edge still fits.
+    across its edge still fits. The sizes are read twice: for the totals and for the plan.
     """
-    largest = df.agg(F.max(size)).first()[0] or 0
+    totals = freeze(slot_totals(df, spread, slots, size))
+    largest = totals.agg(F.max("__largest")).first()[0] or 0
     room = limit - largest
     if room < 1:
         raise ValueError(f"a document of {largest} bytes does not fit files of {limit} bytes")
-    placed = numbered(df, order, spread, slots, size)
+    placed = numbered(df, order, spread, slots, size, totals)
     start = F.greatest(F.col("bytes_to") - 1, F.lit(0).cast("bigint"))
     return placed.withColumn("file_no", F.call_function("div", start, F.lit(room).cast("bigint")))

@@ -258,11 +258,12 @@ def dump(
     chunks: int = 2 * CHUNKS_PER_SHARD,
     size: Column | None = None,
     file_bytes: int | None = None,
+    rows_per_file: int = 0,
     rows_per_slot: int = 1_000_000,
 ) -> Report:
     """Dumps rows to chunk folders of Snappy Parquet; an existing path is refused.
 
-    By default adaptive execution sizes the files. ``file_bytes`` bounds the documents'
+    By default adaptive execution sizes the files; ``rows_per_file`` bounds their rows. ``file_bytes`` bounds the documents'
     bytes in each numbered file instead (64 MiB is usual), with one folder per file.
     """
     key = ShardKey.parse(key)
@@ -272,7 +273,7 @@ def dump(
         require_key(rows, key), key, [DUMP_SHARD], n, sharded=key.hashed
     )
     if file_bytes is None:
-        write_chunks(placed(routed).drop(HASH_COLUMN), path, "errorifexists")
+        write_chunks(placed(routed).drop(HASH_COLUMN), path, "errorifexists", rows_per_file)
         return Report(table)
     order = [F.col(c).asc_nulls_first() for c in rows.columns]
     spread = F.xxhash64(*rows.columns)

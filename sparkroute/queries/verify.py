@@ -27,7 +27,8 @@ def cents(spark, sf_dir):
 
 CENTS_SQL = """(SELECT o_orderkey, o_custkey, o_orderstatus,
   round(o_totalprice * 100)::BIGINT AS o_totalprice, o_orderdate, o_orderpriority FROM orders)"""
-TEXT_SQL = "concat_ws(chr(31), o_custkey, o_orderdate, o_orderkey, o_orderpriority, o_orderstatus, o_totalprice)"
+COLUMNS = ["o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"]
+TEXT_SQL = " || ".join(f"length({c}::VARCHAR) || ':' || {c}::VARCHAR" for c in COLUMNS)
 CONTENT_SQL = f"sum(('0x' || substr(md5({TEXT_SQL}), 1, 15))::BIGINT)::VARCHAR"
 
 

@@ -31,11 +31,14 @@ def one_partition_per_chunk(df: DataFrame, chunks: int) -> DataFrame:
     return df.repartitionById(chunks, df[CHUNK].cast("int"))
 
 
-def write_chunks(df: DataFrame, path: str, mode: str = "append") -> None:
-    """One folder per chunk, all or nothing per job."""
+def write_chunks(
+    df: DataFrame, path: str, mode: str = "append", rows_per_file: int = 0
+) -> None:
+    """One folder per chunk, all or nothing per job; files of at most ``rows_per_file`` if set."""
     if mode not in MODES:
         raise ValueError(f"bad mode: {mode}; one of {', '.join(MODES)}")
-    df.write.mode(mode).partitionBy(CHUNK).option("compression", "snappy").parquet(path)
+    writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
+    writer.partitionBy(CHUNK).option("compression", "snappy").parquet(path)
 
 
 def replace_chunks(df: DataFrame, path: str) -> None:

@@ -244,3 +244,10 @@ def test_other_targets(spark, orders):
     append_table(rows, "chunked_orders")
     assert spark.table("chunked_orders").count() == 3000
     spark.sql("DROP TABLE chunked_orders")
+
+
+def test_files_of_bounded_rows(spark, orders):
+    path = scratch_dir(spark, "d")
+    dump(orders, path, {"o_orderkey": "hashed"}, 2, rows_per_file=100)
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).count()
+    assert files.agg(F.max("count")).first()[0] <= 100

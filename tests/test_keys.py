@@ -37,3 +37,11 @@ def test_doc_bytes(spark):
     row = df.select(doc_bytes(df).alias("json"), doc_bytes(df, ["t"]).alias("text")).first()
     assert row.json == len('{"a":1,"t":"é"}'.encode()) and row.text == 2
     assert df.select(F.col("a")).count() == 1
+
+
+def test_canonical_text_keeps_rows_apart(spark):
+    from sparkroute.functions.fingerprint import canonical
+
+    rows = [("a", "b:c"), ("a1:b", ":c"), (None, "-"), ("-", None), ("", None), (None, "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(canonical(df).alias("t")).distinct().count() == len(rows)
