@@ -251,3 +251,16 @@ def test_files_of_bounded_rows(spark, orders):
     dump(orders, path, {"o_orderkey": "hashed"}, 2, rows_per_file=100)
     files = spark.read.parquet(path).groupBy(F.input_file_name()).count()
     assert files.agg(F.max("count")).first()[0] <= 100
+
+
+def test_stream_of_json_lines(spark, folder):
+    """The scan, typing and routing of a folder load, as a stream."""
+    from sparkroute.functions.extjson import normalize_ext_json
+    from sparkroute.sources.json_lines import parse_documents
+
+    lines = read_file_stream(spark, folder, T.StructType.fromDDL("value string"), "text")
+    typed = normalize_ext_json(parse_documents(lines).where("reason IS NULL").select("doc"), SCHEMA)
+    good = typed.where("size(bad_fields) = 0 AND _id IS NOT NULL").drop("bad_fields")
+    target = scratch_dir(spark, "out")
+    stream_load(good, target, {"_id": "hashed"}, scratch_dir(spark, "cp"), n_chunks=4).awaitTermination()
+    assert sorted(r.n for r in spark.read.parquet(target).collect()) == list(range(20))

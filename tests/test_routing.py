@@ -34,7 +34,7 @@ def test_null_hash_has_no_chunk(spark):
         assert route_hash(df, n, "h").first().chunk_id is None
 
 
-@pytest.mark.parametrize("inline", [4, 1024])
+@pytest.mark.parametrize("inline", [4, 33, 100, 1024])
 def test_many_chunks(spark, inline):
     random.seed(3)
     splits = random.sample(range(10_000), 100)
@@ -46,7 +46,8 @@ def test_many_chunks(spark, inline):
     assert got == {k: py_bisect.bisect_right(bounds, k) for k in keys}
 
 
-def test_compound_key_with_directions(spark):
+@pytest.mark.parametrize("inline", [2, 1024])
+def test_compound_key_with_directions(spark, inline):
     fields = [("a", "desc"), ("b", "asc")]
     rows = [(a, b) for a in range(6) for b in range(6)]
     df = spark.createDataFrame(rows, "a int, b int")
@@ -54,7 +55,7 @@ def test_compound_key_with_directions(spark):
     bounds = spark.createDataFrame([((a, b), "s") for a, b in cut] + [(None, "s")], "max_key struct<a:int,b:int>, shard string")
     chunks = chunk_ranges(bounds, fields)
     order = sorted((-a, b) for a, b in cut)
-    for r in route(df, chunks, fields).collect():
+    for r in route(df, chunks, fields, max_inline=inline).collect():
         assert r.chunk_id == py_bisect.bisect_right(order, (-r.a, r.b))
 
 
