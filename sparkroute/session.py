@@ -7,8 +7,10 @@ wrote and a lost executor costs only the tasks it was running.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,27 @@ def build_session(
     return builder.getOrCreate()
 
 
+def ensure_shipped(spark: SparkSession) -> None:
+    """Give the package to the executors, once per Spark application.
+
+    Python functions that run there import it, wherever the driver was started.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_sparkroute_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(package)
+    path = os.path.join(tempfile.mkdtemp(prefix="sparkroute-code-"), "sparkroute_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, top))
+    sc.addPyFile(path)
+    sc._sparkroute_shipped = True
+
+
 def shared_base(spark: SparkSession) -> str:
     """The shared folder of the session. Only a local master may fall back to a temporary one."""
     base = spark.conf.get(CHECKPOINT_DIR, None)
