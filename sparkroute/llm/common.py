@@ -45,3 +45,8 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkroute.llm import jaccard_join
+from sparkroute.llm import fingerprints, jaccard_join, mixing, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, name = quality_rules.quality_rules(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select("doc_id", f"{name}.*")
+
+
+ORACLES["op1_quality_rules"] = quality_rules.ORACLE
+
+
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, name = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", *[f"{name}.{c}" for c in ("size", "source_size", "target", "taken")])
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, name = sharding.shard_documents(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return placed.select(
+        "doc_id", f"{name}.size", f"{name}.text_crc32", F.lit("bytes").alias("law"), f"{name}.shard", f"{name}.slot",
+        F.lit(None).cast("int").alias("grown_shard"))
