@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkroute.llm import fingerprints, jaccard_join, mixing, quality_rules, sharding
+from sparkroute.llm import (
+    chat_repair,
+    fingerprints,
+    html_extraction,
+    jaccard_join,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_sampling,
+    sharding,
+    warc_archive,
+)
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +66,37 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", f"{name}.size", f"{name}.text_crc32", F.lit("bytes").alias("law"), f"{name}.shard", f"{name}.slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    scored, name = quality_classifier.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % quality_classifier.FOLDS == 0).alias("held_out"),
+        F.col(name).alias("score"), (F.col(name) >= quality_classifier.KEEP_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepiece_sampling.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return encoded.select("doc_id", F.size("samples").alias("n_samples"), "samples", "decoded")
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc_archive.write_archives(table(spark, sf_dir, "pages"))
+    records = warc_archive.read_archives(spark, archives)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extraction.extract(pages, html_extraction.fit(pages))
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repaired(table(spark, sf_dir, "conversations"))

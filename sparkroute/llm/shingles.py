@@ -55,9 +55,9 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.
         first = last
 
 
-def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each lower-cased word, and the number of the text that it stands in."""
-    solid = ~_BLANK[data]
+def spans(offsets: np.ndarray, data: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that are not ``blank`` and lie in one text."""
+    solid = ~blank[data]
     before = np.empty(len(data), bool)
     before[:1] = False
     before[1:] = solid[:-1]
@@ -68,7 +68,12 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after[:-1] = solid[1:]
     after[-1:] = False
     after[inner[(inner > 0) & (inner <= len(data))] - 1] = False
-    ends = np.flatnonzero(solid & ~after) + 1
+    return starts, np.flatnonzero(solid & ~after) + 1
+
+
+def words(offsets: np.ndarray, data: np.ndarray, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each lower-cased word, and the number of the text that it stands in."""
+    starts, ends = spans(offsets, data, blank)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * _power("up", len(data)), out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * _power("down", max(len(data), 1))[starts]
