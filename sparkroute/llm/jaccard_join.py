@@ -29,6 +29,7 @@ from sparkroute.session import ensure_shipped
 
 BUCKET_BITS = 17
 STAR_FROM = 32
+MIN_SHARED = 3
 
 
 def _needed(n: int, percent: int) -> int:
@@ -125,17 +126,17 @@ def light_boundary(sets: DataFrame) -> int:
 
 
 def _postings(sets: DataFrame, light: int, percent: int) -> DataFrame:
-    """(key, single, id, n): what each set is listed under."""
+    """(key, single, id, n, pos): what each set is listed under; pos is a single shingle's place in the order."""
     subsets = F.expr(
         "flatten(transform(sequence(1, size(prefix) - 1), i -> transform(slice(prefix, i + 1, size(prefix)),"
         " x -> xxhash64(element_at(prefix, i), x))))"
     )
     by_subset = sets.where(F.col("n") <= light).select(
-        F.explode(subsets).alias("key"), F.lit(False).alias("single"), "id", "n"
+        F.explode(subsets).alias("key"), F.lit(False).alias("single"), "id", "n", F.lit(0).alias("pos")
     )
     # a light set near the boundary may also have heavy partners
     by_single = sets.where(100 * F.col("n") >= percent * light).select(
-        F.explode(F.slice("prefix", 1, F.size("prefix") - 1)).alias("key"), F.lit(True).alias("single"), "id", "n"
+        F.posexplode(F.slice("prefix", 1, F.size("prefix") - 1)).alias("pos", "key"), F.lit(True).alias("single"), "id", "n"
     )
     return by_subset.unionByName(by_single)
 
@@ -184,25 +185,44 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _overlap(few: str, many: str, percent: int) -> str:
+    """SQL of the common shingles that sets of these sizes need at least."""
+    return f"ceil({percent} * ({few} + {many}) / (100 + {percent}))"
+
+
+def _early(few: str, many: str, percent: int, shared: str) -> str:
+    """SQL of how far, from the end of a set, its ``shared``-th common shingle may lie."""
+    return f"({_overlap(few, many, percent)} - {shared})"
+
+
+def _shared(few: str, many: str, percent: int) -> str:
+    """SQL of how many of the common shingles are asked for among the first ones of both sets."""
+    return f"least({MIN_SHARED}, {_overlap(few, many, percent)} - ceil({percent} * {many} / 100) + 1)"
+
+
 def _candidates(members: DataFrame, percent: int, light: int) -> DataFrame:
-    """Pairs (a, b) of one list and different components that may still reach the threshold."""
+    """Pairs (a, b) of one list and different components that may still reach the threshold.
+
+    With ``need`` common shingles the c-th rarest of them has at least need - c behind it in both
+    sets; so a pair is met only in lists of its places up to there, and must be met c times.
+    """
     first = members.groupBy("key").agg(
         F.min(F.struct("id", "component")).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")
     ).where("lo <> hi").select("key", F.col("m.component").alias("main"))
     open_lists = members.join(first, "key")
     rest = open_lists.where("component <> main").select(
-        "key", "single", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    other = open_lists.select("key", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), "main")
+        "key", "single", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("component").alias("cx"))
+    other = open_lists.select("key", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"),
+                              F.col("component").alias("cy"), "main")
+    few, many = "least(nx, ny)", "greatest(nx, ny)"
+    behind = _early(few, many, percent, _shared(few, many, percent))
     met = rest.join(other, "key").where(
-        f"""cx <> cy and (cy = main or x < y) and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)
-        and (not single or greatest(nx, ny) > {light})"""
+        f"""cx <> cy and (cy = main or x < y) and 100 * {few} >= {percent} * {many}
+        and (not single or ({many} > {light} and nx - 1 - px >= {behind} and ny - 1 - py >= {behind}))"""
     )
     pairs = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "single").agg(
         F.count("*").alias("shared"), F.min(F.least("nx", "ny")).alias("few"), F.max(F.greatest("nx", "ny")).alias("many"))
-    # all common shingles up to the end of one prefix were counted; at most the rest of that set follows
-    may_reach = F.expr(
-        f"(shared + ceil({percent} * many / 100) - 1) * (100 + {percent}) >= {percent} * (few + many)")
-    return pairs.where(~F.col("single") | may_reach).select("a", "b").distinct()
+    return pairs.where(f"not single or shared >= {_shared('few', 'many', percent)}").select("a", "b").distinct()
 
 
 def jaccard_components(
@@ -232,16 +252,19 @@ def jaccard_components(
     light = light_boundary(sets)
     postings = _postings(sets, light, percent)
     lists = postings.groupBy("key", "single").agg(
-        F.count("*").alias("length"), F.min(F.struct("id", "n")).alias("head")).where("length > 1")
+        F.count("*").alias("length"), F.min(F.struct("id", "n", "pos")).alias("head")).where("length > 1")
     shared = write_once(postings.join(lists, ["key", "single"]).select(
-        "key", "single", "id", "n", "length", F.col("head.id").alias("head"), F.col("head.n").alias("head_n")), "lists")
+        "key", "single", "id", "n", "pos", "length", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"),
+        F.col("head.pos").alias("head_pos")), "lists")
 
+    behind = _early("n", "head_n", percent, "1")
     stars = shared.where(
-        f"length > {STAR_FROM} and head <> id and 100 * least(n, head_n) >= {percent} * greatest(n, head_n)"
+        f"""length > {STAR_FROM} and head <> id and 100 * least(n, head_n) >= {percent} * greatest(n, head_n)
+        and (not single or (n - 1 - pos >= {behind} and head_n - 1 - head_pos >= {behind}))"""
     ).select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     labels = smallest_reachable(_checked(stars, texts, percent, shingle))
     members = shared.join(labels, "id", "left").select(
-        "key", "single", "id", "n", F.coalesce("component", "id").alias("component"))
+        "key", "single", "id", "n", "pos", F.coalesce("component", "id").alias("component"))
     links = _checked(_candidates(write_once(members, "members"), percent, light), texts, percent, shingle)
     named_a = labels.toDF("a", "ca")
     named_b = labels.toDF("b", "cb")
