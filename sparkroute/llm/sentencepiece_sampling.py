@@ -28,6 +28,7 @@ from sparkroute.session import ensure_shipped
 
 SEED = 4
 BATCH_CHARS = 1 << 20
+LOG_STEPS = float(1 << 28)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,7 +108,7 @@ class Search:
         """Draw the bounds of the sets beside the steps from ``fixed`` (a place per text) on."""
         n = np.diff(paths.offsets)
         chance = self.lattices.chance[paths.choice]
-        log = np.log(chance)
+        log = np.round(np.log(chance) * LOG_STEPS) / LOG_STEPS  # so sums are exact, whatever texts stand around
         total = np.concatenate([[0.0], np.cumsum(log)])
         owner = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(owner)) - paths.offsets[:-1][owner]
