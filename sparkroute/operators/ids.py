@@ -10,15 +10,23 @@ BLOCK = 10_000
 
 
 def content_id(content: list, ordinal) -> F.Column:
-    """24 hex digits from the content and the ordinal among identical contents."""
-    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in content])
-    return F.substring(F.sha2(F.concat(text, F.lit("\x1f"), ordinal.cast("string")), 256), 1, 24)
+    """24 hex digits from the content and the ordinal among identical contents.
+
+    Every value stands with its length in front and NULL has a mark of its own, so different
+    contents are different texts.
+    """
+    texts = [F.col(c).cast("string") for c in content]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.substring(F.sha2(F.concat(*parts, F.lit("#"), ordinal.cast("string")), 256), 1, 24)
 
 
-def add_id(df: DataFrame, content: list[str], id_col: str = ID, block: int = BLOCK) -> DataFrame:
+def add_id(
+    df: DataFrame, content: list[str], id_col: str = ID, block: int = BLOCK, derived: list[str] = ()
+) -> DataFrame:
     """Fills ``id_col`` where it is NULL, from ``content`` (say the line and its file).
 
-    Ids depend on the content alone, so a retried task makes the same ones; n identical
+    Columns that are neither content nor ``derived`` from it count as content too, so no row
+    takes over another one's values. Ids depend on the content alone, so a retried task makes the same ones; n identical
     documents get the ordinals 0 .. n-1. They are counted instead of numbered: copies
     combine on the map side to one row with their count, which is unfolded again. A count
     beyond ``block`` is unfolded in blocks spread over the cluster, so that no task makes
@@ -26,6 +34,7 @@ def add_id(df: DataFrame, content: list[str], id_col: str = ID, block: int = BLO
     """
     dtype = df.schema[id_col].dataType
     have = df.where(F.col(id_col).isNotNull())
+    content = [*content, *[c for c in df.columns if c not in {id_col, *content, *derived}]]
     rest = [c for c in df.columns if c != id_col and c not in content]
     counted = (
         df.where(F.col(id_col).isNull())

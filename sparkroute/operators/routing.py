@@ -16,11 +16,11 @@ from pyspark.sql import types as T
 
 from sparkroute.functions.hashing import INT64_MAX
 from sparkroute.functions.keys import ASC, DESC, ShardKey
-from sparkroute.operators.small import broadcast_if_small
+from sparkroute.operators.small import broadcast_if_small, byte_size
 
 CHUNK = "chunk_id"
 MAX_INLINE = 1024
-FENCED_BROADCAST_CHUNKS = 1_000_000
+FENCED_BROADCAST_BYTES = 256 << 20
 
 Fields = list[tuple[str, str]]
 
@@ -100,12 +100,28 @@ def bisect(bounds: list[Column], size: int, fields: Fields) -> Column:
     return F.get(F.transform(F.array(key), search), 0)
 
 
+def _exact_text(bound: Column, dtype: T.DataType) -> Column:
+    """A bound as text that gives exactly the same value back, in any session time zone."""
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(bound)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(bound).cast("string")
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        raise ValueError(f"a key field of type {dtype.simpleString()} has no bounds; name its fields")
+    return bound.cast("string")
+
+
 def _literal_bounds(rows: list, dtypes: list[T.DataType]) -> list[Column]:
-    """Collected bounds as one constant array per key field (as text, cast back exactly)."""
+    """Collected bounds as one constant array per key field (from their exact texts)."""
     columns = []
     for i, dtype in enumerate(dtypes):
         values = F.from_json(F.lit(json.dumps([row[i] for row in rows])), "array<string>")
-        columns.append(values.cast(T.ArrayType(dtype)))
+        if isinstance(dtype, T.BinaryType):
+            columns.append(F.transform(values, F.unhex))
+        elif isinstance(dtype, T.TimestampType):
+            columns.append(F.transform(values, lambda x: F.timestamp_micros(x.cast("bigint"))))
+        else:
+            columns.append(values.cast(T.ArrayType(dtype)))
     return columns
 
 
@@ -124,7 +140,7 @@ def route(
     parts = [bound_part("max_key", fields, name).alias(f"b{i}") for i, (name, _) in enumerate(fields)]
     table = chunks.where(F.col("max_key").isNotNull()).select(CHUNK, *parts)
     dtypes = [table.schema[f"b{i}"].dataType for i in range(len(fields))]
-    texts = [F.col(f"b{i}").cast("string") for i in range(len(fields))]
+    texts = [_exact_text(F.col(f"b{i}"), dtype) for i, dtype in enumerate(dtypes)]
 
     rows = table.orderBy(CHUNK).limit(max_inline + 1).select(*texts).collect()
     if len(rows) <= max_inline:
@@ -145,7 +161,7 @@ def _route_fenced(df, table, texts, dtypes, fields, out, max_inline):
     runs = table.groupBy(_div(F.col(CHUNK), stride).cast("int").alias("__fence"))
     runs = runs.agg(run.alias("__run"))
     runs = runs.select("__fence", *[F.col("__run")[c].alias(f"__{c}") for c in columns])
-    if n <= FENCED_BROADCAST_CHUNKS:
+    if byte_size(table) <= FENCED_BROADCAST_BYTES:  # some millions of bounds; beyond, the rows are shuffled by fence
         runs = F.broadcast(runs)
     df = df.withColumn("__fence", fence).join(runs, "__fence", "left")
     within = bisect([F.col(f"__{c}") for c in columns], stride, fields)

@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
+ROW_OVERHEAD = 32
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops counting just beyond that."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows. Counted in each partition, nothing is gathered."""
+    return df.count() <= rows
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its size is proven small, else unchanged (shuffle join)."""
-    return F.broadcast(df) if is_small(df, rows) else df
+def byte_size(df: DataFrame) -> int:
+    """About the bytes that ``df`` takes in memory: the JSON forms of its rows and a share for each."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns))) + ROW_OVERHEAD
+    return df.select(F.sum(row)).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size allows, else unchanged (shuffle join)."""
+    return F.broadcast(df) if byte_size(df) <= size else df

@@ -63,6 +63,13 @@ def enforce_unique(
     return df, None
 
 
+def existing(df: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
+    """Rows whose key is in ``known`` already. Adaptive execution splits a hot key."""
+    there = known.select(*[F.col(k).alias(f"__{k}") for k in key])
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in key])
+    return df.join(there, same, "left_semi")
+
+
 def not_existing(df: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
     """Rows whose key is not in ``existing`` yet. Adaptive execution splits a hot key."""
     known = existing.select(*[F.col(k).alias(f"__{k}") for k in key])

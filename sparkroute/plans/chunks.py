@@ -76,8 +76,17 @@ def chunk_ranges(bounds: DataFrame, fields: Fields | None = None) -> DataFrame:
     return placed.join(lower, CHUNK, "left").select(*COLUMNS)
 
 
-def unordered_bounds(chunks: DataFrame) -> DataFrame:
-    """Chunks that break the ascending, gap-free order; empty for a sound chunk table."""
+def unordered_bounds(chunks: DataFrame, fields: Fields | None = None) -> DataFrame:
+    """Chunks that break the gap-free order of the key; empty for a sound chunk table.
+
+    ``fields`` gives the key fields and directions; one ascending field if left out.
+    """
+    beyond = F.lit(False)
+    for name, kind in reversed(fields or [("max_key", ASC)]):
+        low, high = (bound_part(end, fields or [("", ASC)], name) for end in ("min_key", "max_key"))
+        after = low < high if kind == DESC else low > high
+        beyond = after | (low.eqNullSafe(high) & beyond)
+    at_or_beyond = beyond | (F.col("min_key") == F.col("max_key"))
     previous = chunks.select(
         (F.col(CHUNK) + 1).alias(CHUNK),
         F.col("max_key").alias("previous_max"),
@@ -88,7 +97,7 @@ def unordered_bounds(chunks: DataFrame) -> DataFrame:
         (first & ((F.col(CHUNK) != 0) | F.col("min_key").isNotNull()))
         | (~first & ~F.col("min_key").eqNullSafe(F.col("previous_max")))
         | (~first & F.col("min_key").isNull())
-        | (F.col("min_key") >= F.col("max_key"))
+        | at_or_beyond
     )
     return chunks.join(previous, CHUNK, "left").where(broken).select(*COLUMNS)
 
@@ -183,13 +192,20 @@ def oversized_chunks(per_chunk: DataFrame, max_docs: int = MAX_DOCS_PER_CHUNK) -
     return per_chunk.where(F.col("n_docs") > max_docs)
 
 
-def tag_violations(chunks: DataFrame, tag_ranges: DataFrame, shards: DataFrame) -> DataFrame:
+def tag_violations(
+    chunks: DataFrame, tag_ranges: DataFrame, shards: DataFrame, fields: Fields | None = None
+) -> DataFrame:
     """Chunks that overlap a tag range without lying on one of the tag's shards.
 
-    All bounds of both tables cut the key axis into pieces; each piece lies in one chunk
+    ``fields`` gives the key fields and directions; one ascending field if left out. Two tag
+    ranges with the same lower end are refused. All bounds of both tables cut the key axis into pieces; each piece lies in one chunk
     and at most one tag range, so two look-ups of its lower end find both.
     """
     spark = chunks.sparkSession
+    fields = fields or [("piece", ASC)]
+    twice = tag_ranges.groupBy("min_key").agg(F.count("*").alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        raise ValueError("two tag ranges begin at the same key")
     dtype = chunks.schema["min_key"].dataType
     ends = (
         chunks.select(F.col("min_key").alias("piece"))
@@ -208,11 +224,12 @@ def tag_violations(chunks: DataFrame, tag_ranges: DataFrame, shards: DataFrame)
     edges = freeze(edges)
     tops = edges.where("min_key IS NOT NULL").select(F.col("min_key").alias("max_key"))
     tops = tops.union(spark.range(1).select(F.lit(None).cast(dtype))).withColumn("shard", F.lit(""))
-    zones = chunk_ranges(tops)
+    zones = chunk_ranges(tops, fields)
     tags = edges.select(F.col("min_key").alias("__edge"), "tag")
     zones = zones.join(tags, F.col("min_key").eqNullSafe(F.col("__edge")), "left")
-    pieces = route(ends, chunks, "piece", "owner")
-    pieces = route(pieces, zones, "piece", "zone")
+    keys = [bound_part("piece", fields, name).alias(name) for name, _ in fields]
+    pieces = route(ends.select(*keys), chunks, fields, "owner")
+    pieces = route(pieces, zones, fields, "zone")
     zone_tags = zones.select(F.col(CHUNK).alias("zone"), "tag").where("tag IS NOT NULL")
     touched = (
         pieces.join(zone_tags, "zone")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -22,7 +23,7 @@ from sparkroute.functions.keys import (
 from sparkroute.operators.ids import ID, add_id
 from sparkroute.operators.ordering import file_plan, spread_slots
 from sparkroute.operators.routing import CHUNK, route, route_hash
-from sparkroute.operators.unique import enforce_unique, not_existing
+from sparkroute.operators.unique import enforce_unique, existing, not_existing
 from sparkroute.plans.chunks import (
     CHUNKS_PER_SHARD,
     SPLIT_BYTES,
@@ -31,8 +32,9 @@ from sparkroute.plans.chunks import (
     hash_chunks,
 )
 from sparkroute.plans.splits import range_chunks
+from sparkroute.session import freeze
 from sparkroute.sinks.stats import append_stats
-from sparkroute.sinks.tables import placed, write_chunks
+from sparkroute.sinks.tables import placed, read_layout, write_chunks, write_layout
 from sparkroute.sources.bson import read_bson
 from sparkroute.sources.collection import read_dump
 from sparkroute.sources.files import is_empty_source
@@ -110,7 +112,9 @@ def load(
 
     ``sort`` sorts each chunk by key (and ``tiebreak``); else rows are only brought to their
     chunk. Rows without a complete key fail the job, or go to the path ``quarantine``.
-    ``unique`` is ``fail``, ``first`` or ``quarantine``. ``check`` counts source and result
+    ``unique`` is ``fail``, ``first`` or ``quarantine``, against the rows in the target too.
+    The chunk table and the key are kept with the target; an append goes into those chunks, and
+    is refused under another key. ``check`` counts source and result
     and fails if a row is missing. ``stats`` appends a line on the run to that CSV folder.
     """
     started = time.time()
@@ -132,19 +136,39 @@ def load(
             if not quarantine:
                 raise ValueError("unique='quarantine' needs a quarantine path")
             aside = aside.unionByName(doubles)
-        if mode == "append" and unique == "first" and _exists(spark, target):
-            good = not_existing(good, spark.read.parquet(target), key.names)
-
+        if mode == "append" and _exists(spark, target):
+            known = spark.read.parquet(target)
+            if unique == "fail":
+                taken = existing(good, known, key.names).limit(1).collect()
+                if taken:
+                    raise ValueError(f"key is in the target already: {[taken[0][k] for k in key.names]}")
+            if unique == "quarantine":
+                taken = existing(good, known, key.names).withColumn("n_rows", F.lit(1).cast("bigint"))
+                aside = aside.unionByName(taken.withColumn("reason", F.lit("key exists")))
+            good = not_existing(good, known, key.names)
+
+    spec = json.dumps(list(key.fields))
+    stored = read_layout(spark, target) if mode == "append" and _exists(spark, target) else None
+    if stored:
+        if stored[1] != spec:
+            raise ValueError(f"{target} has the key {stored[1]}, not {spec}")
+        if chunks is not None and chunks.select("max_key", "shard").exceptAll(stored[0].select("max_key", "shard")).take(1):
+            raise ValueError(f"{target} has other chunks; load it anew or leave the chunks out")
+        chunks = stored[0]
     routed, table = plan_and_route(
         good, key, shards, chunks_per_shard, chunks, None, max_bytes, sharded
     )
     written = placed(routed, [*key.order(), *tie] if sort else None, partitions)
     before = spark.read.parquet(target).count() if check and mode == "append" and _exists(spark, target) else 0
+    if aside is not None:
+        aside = freeze(aside)  # before the target changes, which some of its rows were compared with
     write_chunks(written.drop(HASH_COLUMN), target, mode)
+    if not stored:
+        write_layout(table, spec, target)
 
     report = Report(table)
     if aside is not None:
-        aside.write.mode("append").parquet(quarantine)
+        aside.write.mode("overwrite" if mode == "overwrite" else "append").parquet(quarantine)
         report.rows_quarantined = aside.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     if check or stats:
         report.rows_in = rows.count()
@@ -210,7 +234,7 @@ def read_documents(
     else:
         good = typed.where("reason IS NULL").drop("reason")
     if with_id and ID in schema.names:
-        good = add_id(good, ["value", "file"])
+        good = add_id(good, ["value", "file"], derived=[c for c in good.columns if c not in ("value", "file")])
     bad = typed.where("reason IS NOT NULL").select("file", "value", "reason")
     return good.drop("value", "file"), bad
 
@@ -239,7 +263,8 @@ def load_folder(
         return None
     good, bad = read_documents(lines, schema, make_id, fail=quarantine is None)
     if quarantine:
-        bad.write.mode("append").parquet(f"{quarantine}/lines")
+        again = options.get("mode") == "overwrite"
+        bad.write.mode("overwrite" if again else "append").parquet(f"{quarantine}/lines")
         options["quarantine"] = f"{quarantine}/rows"
     return load(good, target, key, input_type=input_type, **options)
 

@@ -108,16 +108,20 @@ def key_complete(spark, sf_dir):
 @query(
     "add_id",
     sql="""
-SELECT substr(sha256(text || chr(31) || source || chr(31) ||
-         (row_number() OVER (PARTITION BY text, source) - 1)::VARCHAR), 1, 24) AS _id,
-       source, octet_length(encode(text))::BIGINT AS n_bytes
-FROM documents
+SELECT substr(sha256(coalesce(length(text) || ':' || text, '-') || coalesce(length(source) || ':' || source, '-') ||
+         coalesce(length(lang) || ':' || lang, '-') || '#' ||
+         (row_number() OVER (PARTITION BY text, source, lang) - 1)::VARCHAR), 1, 24) AS _id,
+       source, lang, octet_length(encode(text))::BIGINT AS n_bytes
+FROM (SELECT text, source, lang FROM documents UNION ALL SELECT NULL, source, lang FROM documents WHERE doc_id % 7 = 0
+      UNION ALL SELECT '', source, lang FROM documents WHERE doc_id % 5 = 0)
 """
 )
 def add_missing_id(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("text", "source")
+    documents = table(spark, sf_dir, "documents")
+    odd = [documents.where(f"doc_id % {m} = 0").withColumn("text", F.lit(t)) for m, t in ((7, None), (5, ""))]
+    documents = documents.unionByName(odd[0]).unionByName(odd[1]).select("text", "source", "lang")
     nameless = documents.withColumn("_id", F.lit(None).cast("string"))
     named = add_id(nameless, ["text", "source"], block=2)
-    return named.select("_id", "source", F.octet_length("text").cast("bigint").alias("n_bytes"))
+    return named.select("_id", "source", "lang", F.octet_length("text").cast("bigint").alias("n_bytes"))
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkroute.operators.ordering import sort_chunks
 from sparkroute.operators.routing import CHUNK
 
+LAYOUT = "_layout"
 MODES = ("append", "overwrite", "errorifexists")
 
 
@@ -41,6 +44,25 @@ def write_chunks(
     writer.partitionBy(CHUNK).option("compression", "snappy").parquet(path)
 
 
+def write_layout(chunks: DataFrame, key: str, path: str) -> None:
+    """Keep a table's chunk bounds, shards and key (as JSON text) beside its data.
+
+    The folder begins with an underscore, so scans of the table pass over it.
+    """
+    chunks.withColumn("key", F.lit(key)).write.mode("overwrite").parquet(f"{path}/{LAYOUT}")
+
+
+def read_layout(spark: SparkSession, path: str) -> tuple[DataFrame, str] | None:
+    """The chunk table and the key that a table was written with; None for a table without."""
+    try:
+        layout = spark.read.parquet(f"{path}/{LAYOUT}")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
+    return layout.drop("key"), layout.select("key").first()[0]
+
+
 def replace_chunks(df: DataFrame, path: str) -> None:
     """Replaces only the chunks that ``df`` has rows of; the others stay."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
