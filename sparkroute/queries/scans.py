@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from sparkroute.functions.extjson import TIMESTAMP, normalize_ext_json
 from sparkroute.functions.hashing import le32_bytes, le64_bytes, millis
 from sparkroute.operators.routing import CHUNK
+from sparkroute.plans.chunks import chunk_ranges
 from sparkroute.plans.splits import range_chunks
 from sparkroute.queries.chunks import RANGE_BYTES, RANGE_CHUNKS_SQL, ROW_BYTES
 from sparkroute.queries.registry import in_chunk_sql, names, query, table
@@ -198,3 +199,25 @@ def chunk_scan(spark, sf_dir):
     size = F.lit(ROW_BYTES).cast("bigint")
     chunks = range_chunks(orders, [("o_custkey", "asc")], size, regions, RANGE_BYTES)
     return read_chunks(orders, chunks, "o_custkey").select("o_orderkey", "o_custkey", CHUNK)
+
+
+SOME_STEP = 5
+
+
+@query(
+    sql=f"""
+SELECT o_orderkey, k, chunk_id FROM (
+  SELECT o_orderkey, k, CASE WHEN k IS NULL THEN 0 ELSE least(k // {SOME_STEP}, n) END::BIGINT AS chunk_id
+  FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS k FROM orders),
+       (SELECT max(o_custkey) // {SOME_STEP} AS n FROM orders))
+WHERE chunk_id % 2 = 0
+"""
+)
+def chunk_scan_some(spark, sf_dir):
+    """Every second chunk of a table with null keys; they belong to the lowest chunk."""
+    orders = table(spark, sf_dir, "orders")
+    top = orders.agg(F.max("o_custkey")).first()[0]
+    ends = spark.range(1, top // SOME_STEP + 1).select((F.col("id") * SOME_STEP).alias("max_key"))
+    ends = ends.union(spark.range(1).select(F.lit(None).cast("bigint"))).withColumn("shard", F.lit("s"))
+    keyed = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey")).alias("k"))
+    return read_chunks(keyed, chunk_ranges(ends), "k", only=list(range(0, top // SOME_STEP + 1, 2)))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkroute.operators.routing import CHUNK
+from sparkroute.operators.small import broadcast_if_small
 from sparkroute.operators.unique import duplicate_keys, keep_first, not_existing, set_aside
 from sparkroute.plans.jobs import load
 from sparkroute.queries.registry import names, query, routed_sql, shard_table, table
 from sparkroute.session import scratch_dir
 from sparkroute.sinks.stats import read_stats
-from sparkroute.sinks.tables import read_chunk_table
+from sparkroute.sinks.tables import read_chunk_table, read_layout
 
 PER_SHARD = 2
 N_CHUNKS = 50  # two chunks on each of the 25 nations
@@ -110,3 +111,33 @@ def run_stats(spark, sf_dir):
     return read_stats(spark, stats).select(
         "input_type", "shard_key", "chunks", "rows_in", "rows_out", "note"
     )
+
+
+@query(sql=f"SELECT {ORDERS_SQL}, true AS inside FROM orders")
+def append_range_twice(spark, sf_dir):
+    """Two appends under a range key: the second one obeys the chunks that the first one stored."""
+    orders, target = orders_of(spark, sf_dir), scratch_dir(spark, "append-range")
+    shards = names(shard_table(spark, sf_dir))
+    for part in (orders.where("o_custkey % 2 = 0"), orders.where("o_custkey % 2 = 1")):
+        load(part, target, {"o_custkey": 1}, shards, max_bytes=20_000)
+    layout, _ = read_layout(spark, target)
+    rows = read_chunk_table(spark, target).join(broadcast_if_small(layout.drop("shard")), CHUNK)
+    inside = F.coalesce(F.expr("o_custkey >= min_key"), F.lit(True)) & F.coalesce(F.expr("o_custkey < max_key"), F.lit(True))
+    return rows.select(*ORDER_COLUMNS, inside.alias("inside"))
+
+
+@query(
+    sql=f"""
+SELECT {ORDERS_SQL}, NULL::VARCHAR AS reason FROM orders
+UNION ALL SELECT {ORDERS_SQL}, 'key exists' FROM orders WHERE o_orderkey % 3 = 0
+"""
+)
+def unique_existing_quarantine(spark, sf_dir):
+    """Keys that the target has already are set aside, not doubled."""
+    orders = orders_of(spark, sf_dir)
+    target, aside = scratch_dir(spark, "unique"), scratch_dir(spark, "unique-aside")
+    shards = names(shard_table(spark, sf_dir))
+    for part in (orders.where("o_orderkey % 3 = 0"), orders):
+        load(part, target, {"o_orderkey": 1}, shards, unique="quarantine", quarantine=aside)
+    kept = read_chunk_table(spark, target).select(*ORDER_COLUMNS, F.lit(None).cast("string").alias("reason"))
+    return kept.union(spark.read.parquet(aside).select(*ORDER_COLUMNS, "reason"))
