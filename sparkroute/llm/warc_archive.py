@@ -29,6 +29,7 @@ MIN_REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 16 << 20
 DICTIONARY_BYTES, SAMPLE_BYTES, MIN_SAMPLES = 32 << 10, 2 << 20, 16
 MAX_RECORD_BYTES = 1 << 30
+READ_BYTES = 8 << 10
 SKIPPABLE = 0x184D2A5D
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 NO_ID = "none"
@@ -169,14 +170,18 @@ def read_records(content: bytes) -> Iterator[tuple]:
     at = 8 + size
     while at < len(content):
         reader = unpacker.decompressobj()
+        parts, end = [], at
         try:
-            record = reader.decompress(view[at:])
-            if not reader.eof:
-                raise WarcError("frame cut short")
+            while not reader.eof:
+                if end >= len(content):
+                    raise WarcError("frame cut short")
+                parts.append(reader.decompress(view[end : end + READ_BYTES]))
+                end = min(end + READ_BYTES, len(content))
+            record = b"".join(parts)
         except (zstandard.ZstdError, WarcError) as error:
             yield (*[None] * 7, f"frame at byte {at}: {error}")
             return
-        at = len(content) - len(reader.unused_data)
+        at = end - len(reader.unused_data)
         try:
             yield parsed(record)
         except (WarcError, ValueError) as error:
