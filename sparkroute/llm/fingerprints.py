@@ -69,15 +69,16 @@ def likeness(a: Column, b: Column) -> Column:
     return let(hashes(a), lambda x: let(hashes(b), lambda y: of_both(x, y)))
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str, columns: list[str], ids: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``next_<column>`` of the row that follows by descending id, the first after the last.
 
     Ids are cut in buckets at quantiles (at most 1024); the first row of each bucket is also put
     at the end of the bucket before it, so each bucket is a window of its own and no row is
     shuffled twice. Null ids come last, equal ids in order of a hash of ``columns``.
+    ``ids`` may give the same ids from a cheaper scan; they are read to place the buckets.
     """
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(INT64_MIN))
-    ids = docs.select(key.alias("__k"))
+    ids = (docs if ids is None else ids).select(key.alias("__k"))
     n = ids.count()
     wanted = min(max(n // BUCKET_ROWS, 1), MAX_BUCKETS)
     quantiles = [i / wanted for i in range(1, wanted)]
@@ -109,7 +110,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     text = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     marked = text.withColumn("chosen", F.explode(F.array(winnowed(F.col("text")))))
-    met = with_next(marked, "id", ["text", "chosen"])
+    met = with_next(marked, "id", ["text", "chosen"], ids=text)
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
