@@ -29,6 +29,7 @@ from sparkroute.session import ensure_shipped
 
 BUCKET_BITS = 17
 STAR_FROM = 32
+ROWS_AT_ONCE = 512
 MIN_SHARED = 3
 
 
@@ -71,6 +72,13 @@ def _ordered(ranks: np.ndarray, shingles: np.ndarray) -> np.ndarray:
     return np.sort((ranks[(shingles >> shift).astype(np.int64)] << shift) | (shingles & low))
 
 
+def _parts(batches):
+    """The rows in small batches, so that a task holds few sets at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(values) + 1, np.int32)
     np.cumsum([len(v) for v in values], out=offsets[1:])
@@ -87,7 +95,7 @@ def shingle_sketches(docs: DataFrame, id_col: str, text_col: str, percent: int,
     ranks = _bucket_ranks(texts.select("text"))
 
     def sketch(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             sizes, d1, d2, prefixes = [], [], [], []
             for found in shingle_sets(batch.column(1), shingle):
                 n = len(found)
@@ -145,7 +153,7 @@ def _sets_of(texts: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """(id, items): whole sets of the documents in ``nodes``."""
 
     def whole(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             found = list(shingle_sets(batch.column(1), shingle))
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found)], ["id", "items"])
 

@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sparkroute.llm.piece_lattice import LITERAL, MARK, Lattices, chunks, vocabulary
-from sparkroute.llm.shingles import mixed
+from sparkroute.llm.shingles import mixed, slices
 from sparkroute.session import ensure_shipped
 
 SEED = 4
-BATCH_CHARS = 1 << 20
+BATCH_BYTES = 1 << 20
 LOG_STEPS = float(1 << 28)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -275,14 +275,9 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         vocab = vocabulary(model_path)
         table = vocab.bytes
         for batch in batches:
-            all_texts, first = batch.column(1).to_pylist(), 0
-            while first < len(all_texts):
-                last, chars = first, 0
-                while last < len(all_texts) and (last == first or chars < BATCH_CHARS):
-                    chars += len(all_texts[last] or "")
-                    last += 1
-                part = batch.slice(first, last - first)
-                texts = [t or "" for t in all_texts[first:last]]
+            for first, offsets, _ in slices(batch.column(1), BATCH_BYTES):
+                part = batch.slice(first, len(offsets) - 1)
+                texts = [t or "" for t in part.column(1).to_pylist()]
                 keys = np.array(part.column(2), np.int64)
                 ranks, ok = [], np.ones(len(texts), bool)
                 for has, ids, sizes, log_prob, inclusion in sampled(model_path, texts, keys, k):
@@ -294,7 +289,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                         begin = end
                     ranks.append((has, ids, sizes, log_prob, inclusion))
                 yield pa.RecordBatch.from_arrays([part.column(0), _structs(ranks), pa.array(ok)], [id_col, "samples", "decoded"])
-                first = last
+                del ranks
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"),
                        F.xxhash64(F.col(f"`{id_col}`")).alias("key"))

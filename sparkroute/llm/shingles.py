@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 300, dtype=np.uint64) | np.uint64(1)
 _BYTE = _SEEDS[:256].copy()
