@@ -131,10 +131,11 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
     rows that come to the driver, their first 20,000 characters each.
     """
     place = F.xxhash64(F.lit(SEED), F.col(f"`{id_col}`"))
-    chosen = pages.where(f"`{html_col}` is not null").select(place.alias("place"), F.col(f"`{id_col}`").alias("id"),
-                                                            F.substring(F.col(f"`{html_col}`"), 1, 20_000).alias("html"))
+    known = pages.where(f"`{html_col}` is not null and `{id_col}` is not null").select(
+        place.alias("place"), F.col(f"`{id_col}`").alias("id"), F.substring(F.col(f"`{html_col}`"), 1, 20_000).alias("html"))
+    ids = [row["id"] for row in known.select("place", "id").distinct().orderBy("place").limit(sample).collect()]
     bank = []
-    for row in chosen.orderBy("place", "id").limit(sample).collect():
+    for row in known.where(F.col("id").isin(ids)).groupBy("id").agg(F.min("html").alias("html")).collect() if ids else []:
         bank += [text for _, text in parse(row["html"])[1] if len(text) > 40]
     bank = sorted(bank) or ["one plain sentence, then another one. and some more words follow here"]
     rng = random.Random(SEED)
