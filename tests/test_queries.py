@@ -7,8 +7,9 @@ from conftest import SF, plan_of
 from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sparkroute.queries import QUERIES
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
