@@ -15,8 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkroute.llm.common import write_once
-from sparkroute.session import ensure_shipped
+from sparkroute.llm.common import python_workers, write_once
 
 BLOCK_TURNS = 256
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -135,7 +134,7 @@ def repaired(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", r
     rows are turns of their own; rows of a null id are one conversation; other columns are not
     read; an empty table gives no rows.
     """
-    ensure_shipped(rows.sparkSession)
+    python_workers(rows.sparkSession)
     turns = rows.select(
         F.col(f"`{id_col}`").cast("long").alias("conv"), F.col(f"`{turn_col}`").cast("long").alias("turn"),
         F.col(f"`{role_col}`").alias("role"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))

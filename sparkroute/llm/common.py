@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkroute.session import scratch_dir
+from sparkroute.session import ensure_shipped, scratch_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def text_of(name: str) -> Column:
@@ -16,6 +18,17 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
 
+def python_workers(spark: SparkSession) -> None:
+    """Ready the session for Python functions on whole texts: code shipped, Arrow batches bounded in bytes.
+
+    Spark bounds a batch by 10,000 rows first, which whole texts make large in both processes.
+    A bound that the session sets itself stays; a longer text is a batch by itself.
+    """
+    ensure_shipped(spark)
+    if spark.conf.get(_ARROW, None) is None:
+        spark.conf.set(_ARROW, str(ARROW_BYTES))
+
+
 def write_once(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder as Parquet, and the written table.
 

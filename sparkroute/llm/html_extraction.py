@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkroute.llm.boosted_trees import BoostedTrees
+from sparkroute.llm.common import python_workers
 from sparkroute.llm.dom import N_FEATURES, Node, features, parse
-from sparkroute.session import ensure_shipped
 
 SAMPLE_PAGES, MADE_PAGES, SEED = 200, 500, 3
 _WRAPPERS = [
@@ -168,7 +168,7 @@ def extract(pages: DataFrame, model: BoostedTrees, id_col: str = "page_id", url_
     without main text, give the empty text; repeated rows come back each; null ids and urls are
     kept; other columns are not read; an empty table gives no rows.
     """
-    ensure_shipped(pages.sparkSession)
+    python_workers(pages.sparkSession)
     rows = pages.select(F.col(f"`{id_col}`"), F.col(f"`{url_col}`"), F.col(f"`{html_col}`").alias("html_"))
 
     def run(batches):

@@ -23,9 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkroute.llm.common import sent_to_all, write_once
+from sparkroute.llm.common import python_workers, sent_to_all, write_once
 from sparkroute.llm.shingles import shingle_sets, slices, words
-from sparkroute.session import ensure_shipped
 
 BUCKET_BITS = 17
 STAR_FROM = 32
@@ -247,7 +246,7 @@ def jaccard_components(
     """
     if not 70 <= percent <= 100:
         raise ValueError("percent must be from 70 to 100: subsets of two need two common shingles")
-    ensure_shipped(docs.sparkSession)
+    python_workers(docs.sparkSession)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     texts = texts.where(F.col("id").isNotNull())
     sketches = write_once(shingle_sketches(docs, id_col, text_col, percent, shingle), "sketches")

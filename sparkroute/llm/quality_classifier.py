@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from sparkroute.llm.common import fresh, sent_to_all, write_once
+from sparkroute.llm.common import fresh, python_workers, sent_to_all, write_once
 from sparkroute.llm.shingles import mixed, slices, spans, words
-from sparkroute.session import ensure_shipped
 
 FOLDS = 5
 MAX_LABELS = 200_000
@@ -152,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     remainder 1 calibrate and the others fit. All sums are made in the partitions; the driver
     adds at most ``TRAIN_PARTITIONS`` small matrices.
     """
-    ensure_shipped(docs.sparkSession)
+    python_workers(docs.sparkSession)
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(
         "id is not null and label in (0, 1)").withColumn("fold", _fold("id")).where("fold <> 0")
     n = usable.count()
@@ -221,7 +220,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     Every whole text is scored where it is read; nothing is shuffled. Defined results: a null
     text is scored as empty; repeated rows get equal scores; an empty table stays empty.
     """
-    ensure_shipped(docs.sparkSession)
+    python_workers(docs.sparkSession)
     kept = keep or docs.columns
     name = fresh(docs, "score")
     text_at = len(kept)

@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sparkroute.llm.common import python_workers
 from sparkroute.llm.piece_lattice import LITERAL, MARK, Lattices, chunks, vocabulary
 from sparkroute.llm.shingles import mixed, slices
-from sparkroute.session import ensure_shipped
 
 SEED = 4
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 512 << 10
 LOG_STEPS = float(1 << 28)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -269,7 +269,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     than ``k`` segmentations gives all of them with inclusion 1; rows of equal id and text, null
     ids too, give equal samples; other columns are not read; an empty table gives no rows.
     """
-    ensure_shipped(docs.sparkSession)
+    python_workers(docs.sparkSession)
 
     def run(batches):
         vocab = vocabulary(model_path)
@@ -318,7 +318,7 @@ def _structs(ranks: list[tuple]) -> pa.Array:
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """``rows`` with the text that the piece ids of ``ids_col`` spell; null ids give null."""
-    ensure_shipped(rows.sparkSession)
+    python_workers(rows.sparkSession)
     schema = StructType([*rows.schema.fields, StructField(out, StringType())])
     names = [*rows.columns, out]
     at = rows.columns.index(ids_col)

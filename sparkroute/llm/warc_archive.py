@@ -22,8 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkroute.llm.common import sent_to_all
-from sparkroute.session import ensure_shipped, scratch_dir
+from sparkroute.llm.common import python_workers, sent_to_all
+from sparkroute.session import scratch_dir
 
 MIN_REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 16 << 20
@@ -202,7 +202,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     columns are not read; an empty table gives an empty folder.
     """
     spark = pages.sparkSession
-    ensure_shipped(spark)
+    python_workers(spark)
     target = folder or scratch_dir(spark, "warc")
     html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{url_col}`").alias("url"), html.alias("html"))
@@ -255,7 +255,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     ``error`` says what is wrong with a record that breaks the format; the archive is read on
     behind it, unless the frames themselves are broken. Payloads of revisits are null.
     """
-    ensure_shipped(spark)
+    python_workers(spark)
     names = spark.read.schema("name string").parquet(f"{folder}/_names")
 
     def read(batches):
