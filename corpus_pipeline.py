@@ -14,6 +14,10 @@ from sparkroute.llm import jaccard_join, mixing, quality_classifier, quality_rul
 from sparkroute.llm.common import fresh, write_once
 from sparkroute.llm.queries import PIECE_MODEL
 
+#: Near copies share this percentage of their distinct shingles of so many words.
+NEAR_PERCENT = 80
+NEAR_WORDS = 5
+
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, and whose host does."""
@@ -31,10 +35,11 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that is linked by the n-gram Jaccard join: the one of smallest id.
 
+    Links are of five-word shingles and a similarity of 0.8 or more.
     Documents without an id link with nothing and stay. Rows of equal id are one document: the
     first by text stays.
     """
-    groups = jaccard_join.jaccard_components(docs)
+    groups = jaccard_join.jaccard_components(docs, percent=NEAR_PERCENT, shingle=NEAR_WORDS)
     found = groups.agg(F.count("doc_id").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
     gone = write_once(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
     kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")

@@ -37,8 +37,8 @@ def _needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _bucket_ranks(texts: DataFrame) -> np.ndarray:
-    """Rank of each hash bucket by the number of words' shingles in it, least first."""
+def _bucket_ranks(texts: DataFrame, shingle: int) -> np.ndarray:
+    """Rank of each hash bucket by the number of ``shingle``-word shingles in it, least first."""
 
     def count(batches):
         from sparkroute.llm.shingles import _PLACE, mixed
@@ -47,8 +47,8 @@ def _bucket_ranks(texts: DataFrame) -> np.ndarray:
         for batch in batches:
             for _, offsets, data in slices(batch.column(0)):
                 hashes, _ = words(offsets, data)
-                m = max(len(hashes) - 3, 0)
-                grams = mixed(sum((hashes[i : i + m] * _PLACE[i] for i in range(1, 4)), hashes[:m] * _PLACE[0]))
+                m = max(len(hashes) - shingle + 1, 0)
+                grams = mixed(sum((hashes[i : i + m] * _PLACE[i] for i in range(1, shingle)), hashes[:m] * _PLACE[0]))
                 total += np.bincount((grams >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
         found = np.flatnonzero(total)
         for at in range(0, len(found), 20_000):
@@ -91,7 +91,7 @@ def shingle_sketches(docs: DataFrame, id_col: str, text_col: str, percent: int,
     The prefix has one shingle more than a shared single one needs, for the subsets.
     """
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    ranks = _bucket_ranks(texts.select("text"))
+    ranks = _bucket_ranks(texts.select("text"), shingle)
 
     def sketch(batches):
         for batch in _parts(batches):

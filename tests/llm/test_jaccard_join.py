@@ -6,13 +6,13 @@ import pytest
 from sparkroute.llm.jaccard_join import jaccard_components
 
 
-def brute(rows):
+def brute(rows, percent=85, k=4):
     """The contract by definition: all pairs, then components."""
     def sets(text):
         words = [w for w in "".join(c if c not in "\t\n\x0b\x0c\r" else " " for c in _lower(text or "")).split(" ") if w]
-        if len(words) < 4:
+        if len(words) < k:
             return {tuple(words)} if words else set()
-        return {tuple(words[i : i + 4]) for i in range(len(words) - 3)}
+        return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
 
     items = [(i, sets(t)) for i, t in rows]
     root = {i: i for i, _ in items}
@@ -23,7 +23,7 @@ def brute(rows):
         return x
 
     for (i, a), (j, b) in itertools.combinations(items, 2):
-        if a and b and 100 * len(a & b) >= 85 * len(a | b):
+        if a and b and 100 * len(a & b) >= percent * len(a | b):
             x, y = sorted((find(i), find(j)))
             root[y] = x
     return sorted((i, len(s), find(i)) for i, s in items)
@@ -37,8 +37,8 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.select("doc_id", "n_shingles", "component_id").collect())
 
 
-@pytest.mark.parametrize("seed,vocabulary", [(1, 2000), (2, 40)])
-def test_equals_brute_force(spark, seed, vocabulary):
+@pytest.mark.parametrize("seed,vocabulary,percent,k", [(1, 2000, 85, 4), (2, 40, 85, 4), (3, 500, 80, 5)])
+def test_equals_brute_force(spark, seed, vocabulary, percent, k):
     rnd = random.Random(seed)
     base = [[f"w{rnd.randrange(vocabulary)}" for _ in range(rnd.choice([5, 9, 12, 30, 80, 300]))] for _ in range(40)]
     passage = [f"p{i}" for i in range(60)]
@@ -54,7 +54,7 @@ def test_equals_brute_force(spark, seed, vocabulary):
     rows = [(i * 3, t) for i, t in enumerate(texts)]
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert rows_of(jaccard_components(df)) == brute(rows)
+    assert rows_of(jaccard_components(df, percent=percent, shingle=k)) == brute(rows, percent, k)
 
 
 def test_large_group_of_near_copies(spark):
