@@ -258,19 +258,21 @@ def jaccard_components(
     sets = sets.select("id", "n", "prefix")
     light = light_boundary(sets)
     postings = _postings(sets, light, percent)
-    lists = postings.groupBy("key", "single").agg(
-        F.count("*").alias("length"), F.min(F.struct("id", "n", "pos")).alias("head")).where("length > 1")
-    shared = write_once(postings.join(lists, ["key", "single"]).select(
-        "key", "single", "id", "n", "pos", "length", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"),
-        F.col("head.pos").alias("head_pos")), "lists")
+    # nearly all keys occur once: they are found by counts alone, before rows of full width meet
+    repeated = postings.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
+    met = write_once(postings.join(repeated, "key", "left_semi").select("key", "single", "id", "n", "pos"), "lists")
+    long = met.groupBy("key", "single").agg(
+        F.count("*").alias("length"), F.min(F.struct("id", "n", "pos")).alias("head")).where(f"length > {STAR_FROM}")
+    starred = met.join(long, ["key", "single"]).select(
+        "single", "id", "n", "pos", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"), F.col("head.pos").alias("head_pos"))
 
     behind = _early("n", "head_n", percent, "1")
-    stars = shared.where(
-        f"""length > {STAR_FROM} and head <> id and 100 * least(n, head_n) >= {percent} * greatest(n, head_n)
+    stars = starred.where(
+        f"""head <> id and 100 * least(n, head_n) >= {percent} * greatest(n, head_n)
         and (not single or (n - 1 - pos >= {behind} and head_n - 1 - head_pos >= {behind}))"""
     ).select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     labels = smallest_reachable(_checked(stars, texts, percent, shingle))
-    members = shared.join(labels, "id", "left").select(
+    members = met.join(labels, "id", "left").select(
         "key", "single", "id", "n", "pos", F.coalesce("component", "id").alias("component"))
     links = _checked(_candidates(write_once(members, "members"), percent, light), texts, percent, shingle)
     named_a = labels.toDF("a", "ca")
