@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import re
 import struct
 
 import pyarrow.fs
@@ -102,3 +103,55 @@ def test_repaired_dialogues_are_legal_and_keep_all_text(spark):
             assert (text or "") in dialogue
     assert [t["text"] for t in got[1]] == ["a\nb", "c"]
     assert repaired(df.limit(0)).count() == 0
+
+
+def dialogues(rows):
+    """The rows of each conversation in order."""
+    got = {}
+    for r in sorted(rows, key=lambda r: (r["block"], r["place"])):
+        got.setdefault(r["conv_id"], []).append(r)
+    return got
+
+
+def test_turns_of_equal_or_no_number_are_cut_in_blocks_too(spark):
+    rows = [(None, 0, "user" if i % 3 else "assistant", f"n{i:04}") for i in range(600)] + [(None, None, None, None)] * 700
+    rows += [(7, None, "tool", f"s{i:04}") for i in range(300)] + [(8, 1 << 40, "user", "far"), (8, -5, "system", "near")]
+    got = dialogues(repaired(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect())
+    for conv, n in ((None, 1300), (7, 300), (8, 2)):
+        sources = {}
+        for r in got[conv]:
+            sources[r["block"]] = sources.get(r["block"], 0) + sum(e != "insert" for e in r["edits"].split(","))
+        assert sum(sources.values()) == n and max(sources.values()) <= 256 and sorted(sources) == list(range(-(-n // 256)))
+        dialogue = "".join(r["rendered"] for r in got[conv])
+        assert legal([p.split("\n")[0] for p in dialogue.split("<|im_start|>")[1:]])
+    # nulls first, then by role and text
+    texts = "".join(r["rendered"] for r in got[None])
+    order = [f"n{i:04}" for i in range(0, 600, 3)] + [f"n{i:04}" for i in range(600) if i % 3]
+    assert re.findall(r"n\d{4}", texts) == order
+
+
+def test_blocks_in_a_tree_cost_the_least(spark, monkeypatch):
+    import random
+
+    from sparkroute.llm import chat_repair
+
+    monkeypatch.setattr(chat_repair, "BLOCK_TURNS", 4)
+    monkeypatch.setattr(chat_repair, "FAN", 3)
+    rnd = random.Random(3)
+    convs = {c: [rnd.choice(["system", "user", "assistant", "tool", None]) for _ in range(n)] for c, n in ((1, 200), (2, 37), (None, 113), (3, 3))}
+    rows = [(c, t, role, f"{t},") for c, roles in convs.items() for t, role in enumerate(roles)]
+    rnd.shuffle(rows)
+    got = dialogues(repaired(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect())
+    assert set(got) == set(convs)
+    for conv, roles in convs.items():
+        cost, i = 0, 0
+        for r in got[conv]:
+            for edit in r["edits"].split(","):
+                if edit == "insert":
+                    cost += INSERT
+                    continue
+                own, to = STATE_OF.get(roles[i]), STATE_OF[r["role"]]
+                cost += (MERGE if edit == "merge" else 0) + (0 if own == to else UNKNOWN if own is None else RELABEL)
+                i += 1
+        assert i == len(roles) and cost == cheapest(roles)
+        assert "".join(r["text"] for r in got[conv]).replace("\n", "") == "".join(f"{t}," for t in range(len(roles)))
