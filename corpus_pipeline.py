@@ -33,22 +33,29 @@ def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is linked by the n-gram Jaccard join: the one of smallest id.
+    """One row of each group that is linked by the n-gram Jaccard join: the first by id and text, null ids last.
 
-    Links are of five-word shingles and a similarity of 0.8 or more.
-    Documents without an id link with nothing and stay. Rows of equal id are one document: the
-    first by text stays.
+    Links are of five-word shingles and a similarity of 0.8 or more, between rows whatever their
+    ids: several texts of one id are documents of their own. Texts without words link with
+    nothing; of those, repeated rows of one id and text are one, and those without an id all stay.
     """
-    groups = jaccard_join.jaccard_components(docs, percent=NEAR_PERCENT, shingle=NEAR_WORDS)
-    found = groups.agg(F.count("doc_id").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
-    gone = write_once(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    found = docs.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
     if found["n"] == found["ids"]:
-        return kept
+        groups = jaccard_join.jaccard_components(docs, percent=NEAR_PERCENT, shingle=NEAR_WORDS)
+        gone = write_once(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")), "gone")
+        return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
     row = fresh(docs, "row")
-    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
-    named = kept.where("doc_id is not null").groupBy("doc_id").agg(first.alias(row)).select(f"{row}.*")
-    return named.unionByName(kept.where("doc_id is null"))
+    numbered = write_once(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = write_once(jaccard_join.jaccard_components(numbered, id_col=row, percent=NEAR_PERCENT, shingle=NEAR_WORDS), "groups")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = numbered.select(F.col(row).alias("at"), "doc_id", "text", whole.alias("whole"))
+    rows = rows.join(groups.select(F.col(row).alias("at"), "n_shingles", "component_id"), "at")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text", "whole", "at")).alias("first")
+    linked = rows.where("n_shingles > 0").groupBy("component_id").agg(first).select("first.at")
+    wordless = rows.where("n_shingles = 0")
+    named = wordless.where("doc_id is not null").groupBy("doc_id", "text").agg(first).select("first.at")
+    stay = write_once(linked.unionByName(named).unionByName(wordless.where("doc_id is null").select("at")), "stay")
+    return numbered.join(stay, F.col(row) == F.col("at"), "left_semi").drop(row)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
