@@ -36,11 +36,12 @@ N_FEATURES = 26
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "tokens", "runs", "depth", "links", "keep", "hidden", "at")
+    __slots__ = ("tag", "parent", "children", "tokens", "runs", "depth", "links", "keep", "hidden", "at", "rank")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.children, self.runs = tag, parent, [], []
         self.depth = parent.depth + 1 if parent else 0
+        self.rank = len(parent.children) if parent else 0  # place among the siblings
         self.tokens: frozenset = frozenset()
         self.links, self.keep, self.hidden, self.at = 0, False, False, 0
 
@@ -188,12 +189,11 @@ def features(nodes: list[Node], blocks: list[tuple[Node, str]]) -> list[list[flo
         now = (up[0] + bool(bad), up[1] + bool(remark), up[2] + bool(good), up[3] + bad_tag, up[4] + main_tag, up[5] + node.hidden)
         state.append(now)
         siblings = node.parent.children if node.parent else [node]
-        rank = siblings.index(node) if len(siblings) < 200 else 0
         t = text[i]
         out.append([
             bad, remark, good, bad_tag, main_tag, *now, node.tag in ("p", "blockquote", "pre", "figcaption"),
             len(node.tag) == 2 and node.tag[0] == "h" and node.tag[1].isdigit(), node.tag in ("li", "ul", "ol", "dl", "dd", "dt"),
-            min(node.depth, 30), rank / len(siblings), log(len(siblings)), log(t), log(tags[i]), t / (1 + tags[i]),
+            min(node.depth, 30), node.rank / len(siblings), log(len(siblings)), log(t), log(tags[i]), t / (1 + tags[i]),
             links[i] / max(t, 1), t / whole, 100 * marks[i] / max(t, 1), log(own[i]), log(paragraphs[i]), start[i] / whole,
         ])
     return out
