@@ -70,6 +70,10 @@ class Search:
         self.keys = mixed(keys.astype(np.int64).view(np.uint64) + np.uint64(SEED))
         self.first_word = np.cumsum(self.words) - self.words
 
+    def _round_keys(self, round_: int) -> np.ndarray:
+        """Keys of the draws of a round. The purposes part the first two; each later round has keys of its own."""
+        return self.keys if round_ < 2 else mixed(self.keys ^ np.uint64(round_))
+
     def _walk(self, states: np.ndarray, keys: np.ndarray, counts: np.ndarray, round_: int) -> tuple:
         """Sample pieces from each of ``states`` to the end of its word.
 
@@ -117,7 +121,7 @@ class Search:
         with np.errstate(divide="ignore"):
             location = paths.before + np.log(np.maximum(1 - chance, 0))
         location[1 - chance < 1e-15] = -np.inf
-        draw = _below(location, paths.top[owner], uniform(self.keys[owner], place, round_ % 4))
+        draw = _below(location, paths.top[owner], uniform(self._round_keys(round_)[owner], place, round_ % 4))
         paths.bound = np.where(place >= fixed[owner], draw, -np.inf)
         paths.used = np.left_shift(1, paths.choice - self.lattices.first[paths.state]).astype(np.int32)
 
@@ -169,13 +173,13 @@ class Search:
             free = (local < (lat.first[state + 1] - lat.first[state])[:, None]) & ((paths.used[at][:, None] >> local) & 1 == 0)
             chance = np.where(free, lat.chance[choices], 0.0)
             left = chance.sum(1)
-            u = uniform(self.keys[t], at - paths.offsets[t], (round_ + 1) % 4) * left
+            u = uniform(self._round_keys(round_)[t], at - paths.offsets[t], (round_ + 1) % 4) * left
             over = np.cumsum(chance, 1) > u[:, None]
             column = np.where(over.any(1), over.argmax(1), m - 1 - (chance[:, ::-1] > 0).argmax(1))
             rest = left - chance[np.arange(len(t)), column]
             with np.errstate(divide="ignore"):
                 location = np.where(rest > 1e-15, paths.before[at] + np.log(np.maximum(rest, 1e-300)), -np.inf)
-            paths.bound[at] = _below(location, top[t], uniform(self.keys[t] + np.uint64(99), at - paths.offsets[t], round_ % 4))
+            paths.bound[at] = _below(location, top[t], uniform(self._round_keys(round_)[t] + np.uint64(99), at - paths.offsets[t], round_ % 4))
             paths.used[at] |= np.left_shift(1, column).astype(np.int32)
             size[mine] = at - paths.offsets[t]
             state_of[mine], choice_of[mine], word_of[mine] = state, lat.first[state] + column, self.step_word[i][at]
@@ -191,7 +195,7 @@ class Search:
         starts = np.concatenate([follow[inside], lat.start[lat.type_of[rest_words]]])
         order = np.argsort(owner, kind="stable")
         owner, count, starts = owner[order], count[order], starts[order]
-        steps, state, choice = self._walk(starts, self.keys[texts][owner] + np.uint64((round_ * int(_GOLDEN)) % 2**64), count, round_)
+        steps, state, choice = self._walk(starts, self._round_keys(round_)[texts][owner] + (_GOLDEN if round_ == 1 else np.uint64(0)), count, round_)
         tail = np.bincount(owner, steps, len(texts)).astype(np.int64)
         length = np.zeros(len(self.words), np.int64)
         length[texts] = size + 1 + tail
