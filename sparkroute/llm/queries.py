@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkroute.llm import (
     chat_repair,
     fingerprints,
+    hard_negatives,
     html_extraction,
     jaccard_join,
     mixing,
@@ -100,3 +101,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repaired(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_hard_negatives"] = hard_negatives.ORACLE
