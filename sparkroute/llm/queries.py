@@ -18,6 +18,7 @@ from sparkroute.llm import (
     quality_rules,
     sentencepiece_sampling,
     sharding,
+    structure_repair,
     warc_archive,
 )
 
@@ -109,3 +110,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_hard_negatives"] = hard_negatives.ORACLE
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.damage_report(table(spark, sf_dir, "conversations"))
