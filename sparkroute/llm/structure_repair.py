@@ -268,6 +268,13 @@ def repair(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", rol
     equal number stand in order of role and text, null turns first; repeated rows are turns of their own, copies of one another; rows
     of a null id are one conversation; other columns are not read; an empty table gives no rows.
     """
+    short, long = by_length(rows, id_col, turn_col, role_col, text_col)
+    return short if long is None else short.unionByName(long)
+
+
+def by_length(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+              text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``repair`` in two: conversations of one block, and those of several, if there are any."""
     python_workers(rows.sparkSession)
     turns = rows.select(
         F.col(f"`{id_col}`").cast("long").alias("conv"), F.col(f"`{turn_col}`").cast("long").alias("turn"),
@@ -277,10 +284,10 @@ def repair(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", rol
     total = long.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).first()
     in_order = F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
     if not total["n"]:
-        return turns.groupBy("conv").agg(in_order).mapInArrow(_repair_whole, _BLOCK_DDL)
+        return turns.groupBy("conv").agg(in_order).mapInArrow(_repair_whole, _BLOCK_DDL), None
     of_long = sent_to_all(long.select(F.col("conv").alias("of")), row_bytes=16, limit=LONG_BYTES)
     short = turns.join(of_long, _same(), "left_anti").groupBy("conv").agg(in_order).mapInArrow(_repair_whole, _BLOCK_DDL)
-    return short.unionByName(_long(turns.join(of_long, _same(), "left_semi"), total["bytes"] // total["n"]))
+    return short, _long(turns.join(of_long, _same(), "left_semi"), total["bytes"] // total["n"])
 
 
 def _long(turns: DataFrame, text_bytes: int) -> DataFrame:
@@ -331,7 +338,7 @@ def _digested(batches):
         yield _batch([(conv, *sums, "".join(audits), digest.hexdigest())], _SUMMARY)
 
 
-def summaries(blocks: DataFrame) -> DataFrame:
+def summaries(short: DataFrame, long: DataFrame | None) -> DataFrame:
     """Per conversation: conv, fault counts, cost, audit, and the SHA-256 of its repaired ``role:text`` lines.
 
     Conversations of one block need no exchange. Those of several stream through a task in order, a block
@@ -339,9 +346,10 @@ def summaries(blocks: DataFrame) -> DataFrame:
     """
     left = F.filter("turns", lambda t: t["edit"] != DELETE)
     lines = F.array_join(F.transform(left, lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
-    single = F.col("last") & (F.col("block") == 0)
-    whole = blocks.where(single).select("conv", *_COUNTS, "audit", F.sha2(lines, 256).alias("repaired_sha256"))
-    parts = blocks.where(~single).select("conv", "block", *_COUNTS, "audit", F.when(F.size(left) > 0, lines).alias("repaired"))
+    whole = short.select("conv", *_COUNTS, "audit", F.sha2(lines, 256).alias("repaired_sha256"))
+    if long is None:
+        return whole
+    parts = long.select("conv", "block", *_COUNTS, "audit", F.when(F.size(left) > 0, lines).alias("repaired"))
     parts = parts.repartition("conv").sortWithinPartitions("conv", "block").drop("block")
     return whole.unionByName(parts.mapInArrow(_digested, _SUMMARY_DDL))
 
@@ -367,7 +375,7 @@ def damage_report(rows: DataFrame) -> DataFrame:
         F.min(there).alias("first"), F.max(there).alias("final"), F.count(there).alias("n"))
     span = F.col("final").cast("decimal(20,0)") - F.col("first") + 1 - F.col("n")
     gaps = F.coalesce(span.try_cast("long"), F.lit(0).cast("long"))
-    found = summaries(repair(left)).withColumnRenamed("conv", "of")
+    found = summaries(*by_length(left)).withColumnRenamed("conv", "of")
     met = turns.select("conv_id", gaps.alias("gaps")).join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left")
     return met.select("conv_id", "gaps", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in _COUNTS],
                       F.coalesce("audit", F.lit("")).alias("audit"),
