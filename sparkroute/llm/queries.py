@@ -13,6 +13,7 @@ from sparkroute.llm import (
     hard_negatives,
     html_extraction,
     jaccard_join,
+    license_scan,
     mixing,
     quality_classifier,
     quality_rules,
@@ -115,3 +116,8 @@ ORACLES["op13_hard_negatives"] = hard_negatives.ORACLE
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_repair.damage_report(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.labelled(license_scan.scan(table(spark, sf_dir, "documents")))
