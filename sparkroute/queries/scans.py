@@ -13,6 +13,7 @@ from sparkroute.plans.splits import range_chunks
 from sparkroute.queries.chunks import RANGE_BYTES, RANGE_CHUNKS_SQL, ROW_BYTES
 from sparkroute.queries.registry import in_chunk_sql, names, query, table
 from sparkroute.session import scratch_dir
+from sparkroute.plans.jobs import read_documents
 from sparkroute.sources.bson import read_bson
 from sparkroute.sources.collection import read_chunks
 from sparkroute.sources.json_lines import parse_documents, read_json_lines, read_lines
@@ -148,6 +149,45 @@ def ext_json(spark, sf_dir):
     )
 
 
+NESTED_ROW = (
+    "event_id bigint, box struct<n: bigint, tags: array<struct<k: bigint, on: boolean>>>, "
+    "grid array<array<int>>, price decimal(38,4), count bigint"
+)
+NESTED_LINE = """'{"event_id": ' || event_id
+  || ', "box": {"n": ' || CASE event_type WHEN 'error' THEN user_id || '.7' WHEN 'signup' THEN user_id || '.0' ELSE user_id::VARCHAR END
+  || ', "tags": [{"k": ' || user_id || ', "on": true}, {"k": ' || CASE event_type WHEN 'view' THEN 'true' ELSE event_id::VARCHAR END
+  || ', "on": ' || CASE event_type WHEN 'purchase' THEN '"true"' ELSE 'false' END || '}]}'
+  || ', "grid": [[1, ' || user_id || '], [], [' || CASE event_type WHEN 'view' THEN '3000000000' ELSE '7' END || ']]'
+  || ', "price": {"$numberDecimal": "1234567890123456789012345678.' || lpad((user_id % 1000)::VARCHAR, 4, '0') || '"}'
+  || ', "count": "NumberLong(' || event_id || ')"}'"""
+NESTED_SPARK_LINE = NESTED_LINE.replace("::VARCHAR", "::STRING")
+
+
+@query(
+    sql=f"""
+SELECT CASE event_type WHEN 'error' THEN 'bad type: box.n' WHEN 'view' THEN 'bad type: box.tags[1].k,grid[2][0]'
+    WHEN 'purchase' THEN 'bad type: box.tags[1].on' END AS reason,
+  CASE WHEN reason IS NOT NULL THEN {NESTED_LINE} END AS line,
+  CASE WHEN reason IS NULL THEN event_id END AS event_id, CASE WHEN reason IS NULL THEN user_id END AS n,
+  CASE WHEN reason IS NULL THEN event_id END AS last_k, CASE WHEN reason IS NULL THEN user_id::INTEGER END AS cell,
+  CASE WHEN reason IS NULL THEN '1234567890123456789012345678.' || lpad((user_id % 1000)::VARCHAR, 4, '0') END AS price,
+  CASE WHEN reason IS NULL THEN event_id END AS count
+FROM events
+"""
+)
+def ext_json_nested(spark, sf_dir):
+    """Structs and arrays at depth: a value that its column cannot hold exactly sends the line to quarantine, with its path."""
+    folder = scratch_dir(spark, "nested")
+    table(spark, sf_dir, "events").select(F.expr(NESTED_SPARK_LINE).alias("value")).write.text(folder)
+    good, bad = read_documents(read_lines(spark, folder), T.StructType.fromDDL(NESTED_ROW), with_id=False)
+    null = F.lit(None)
+    kept = good.select(
+        null.cast("string").alias("reason"), null.cast("string").alias("line"), "event_id", F.col("box.n").alias("n"),
+        F.element_at("box.tags", -1)["k"].alias("last_k"), F.col("grid")[0][1].alias("cell"), F.col("price").cast("string").alias("price"), "count")
+    aside = bad.select("reason", F.col("value").alias("line"), *[null.cast(kept.schema[c].dataType).alias(c) for c in kept.columns[2:]])
+    return kept.unionByName(aside)
+
+
 def bson_document():
     """Each order as a BSON document, without its closing zero byte."""
 
