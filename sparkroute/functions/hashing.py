@@ -28,15 +28,27 @@ TAG_BINARY = 30
 TAG_BOOLEAN = 40
 TAG_DATE = 45
 
+# Kinds of key values of documents without a schema, in the order that they sort in.
+LEAST, NULL, NUMBER, TEXT, OBJECT, ARRAY, BINARY, OBJECT_ID, BOOLEAN, DATE, STAMP, REGEX, MOST = (
+    0, 5, 10, 15, 20, 25, 30, 35, 40, 45, 47, 50, 127)
+EXACT = "decimal(38,18)"
+#: A key value of any kind: orders by kind, then by number, then by text.
+KEY_TYPE = T.StructType([
+    T.StructField("rank", T.IntegerType()), T.StructField("number", T.DoubleType()),
+    T.StructField("exact", T.DecimalType(38, 18)), T.StructField("text", T.StringType()),
+])
+
 INT64_MAX = 2**63 - 1
 INT64_MIN = -(2**63)
 
 
-def _raw(data: bytes) -> Column:
+def raw(data: bytes) -> Column:
+    """Constant bytes."""
     return F.lit(bytearray(data))
 
 
-def _le32(value: int) -> bytes:
+def tag_bytes(value: int) -> bytes:
+    """A seed or tag as four little-endian bytes."""
     return struct.pack("<i", value)
 
 
@@ -97,14 +109,14 @@ def millis(x: Column, dtype: T.DataType) -> Column:
 def value_bytes(x: Column, dtype: T.DataType) -> tuple[int, Column]:
     """Type tag and value bytes of a scalar that is not null."""
     if isinstance(dtype, T.BooleanType):
-        return TAG_BOOLEAN, F.when(x, _raw(b"\x01")).otherwise(_raw(b"\x00"))
+        return TAG_BOOLEAN, F.when(x, raw(b"\x01")).otherwise(raw(b"\x00"))
     if isinstance(dtype, T.NumericType):
         return TAG_NUMBER, le64_bytes(as_int64(x, dtype))
     if isinstance(dtype, T.StringType):
         data = F.encode(x, "UTF-8")
-        return TAG_STRING, F.concat(le32_bytes(F.octet_length(x) + 1), data, _raw(b"\x00"))
+        return TAG_STRING, F.concat(le32_bytes(F.octet_length(x) + 1), data, raw(b"\x00"))
     if isinstance(dtype, T.BinaryType):
-        return TAG_BINARY, F.concat(le32_bytes(F.octet_length(x)), _raw(b"\x00"), x)
+        return TAG_BINARY, F.concat(le32_bytes(F.octet_length(x)), raw(b"\x00"), x)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return TAG_DATE, le64_bytes(millis(x, dtype))
     raise TypeError(f"no hash form for {dtype.simpleString()}")
@@ -112,12 +124,12 @@ def value_bytes(x: Column, dtype: T.DataType) -> tuple[int, Column]:
 
 def _element(x: Column, dtype: T.DataType, name: Column) -> Column:
     """Tagged bytes of one value; ``name`` is binary, already zero-ended (empty at the top)."""
-    null = F.concat(_raw(_le32(TAG_NULL)), name)
+    null = F.concat(raw(tag_bytes(TAG_NULL)), name)
     if isinstance(dtype, T.StructType):
         fields = [
-            _element(x[f.name], f.dataType, _raw(f.name.encode() + b"\x00")) for f in dtype.fields
+            _element(x[f.name], f.dataType, raw(f.name.encode() + b"\x00")) for f in dtype.fields
         ]
-        full = F.concat(_raw(_le32(TAG_OBJECT)), name, *fields, _raw(_le32(TAG_END)))
+        full = F.concat(raw(tag_bytes(TAG_OBJECT)), name, *fields, raw(tag_bytes(TAG_END)))
     elif isinstance(dtype, T.ArrayType):
         items = F.transform(
             x,
@@ -125,17 +137,17 @@ def _element(x: Column, dtype: T.DataType, name: Column) -> Column:
                 _element(
                     v,
                     dtype.elementType,
-                    F.concat(F.encode(i.cast("string"), "UTF-8"), _raw(b"\x00")),
+                    F.concat(F.encode(i.cast("string"), "UTF-8"), raw(b"\x00")),
                 )
             ),
         )
         body = F.unhex(F.array_join(items, ""))
-        full = F.concat(_raw(_le32(TAG_ARRAY)), name, body, _raw(_le32(TAG_END)))
+        full = F.concat(raw(tag_bytes(TAG_ARRAY)), name, body, raw(tag_bytes(TAG_END)))
     elif isinstance(dtype, T.NullType):
         return null
     else:
         tag, data = value_bytes(x, dtype)
-        full = F.concat(_raw(_le32(tag)), name, data)
+        full = F.concat(raw(tag_bytes(tag)), name, data)
     return F.when(x.isNull(), null).otherwise(full)
 
 
@@ -155,13 +167,32 @@ def digest64(data: Column) -> Column:
 def hash64(x: Column, dtype: T.DataType | None = None, seed: int = SEED) -> Column:
     """The 64-bit hash of a column of type ``dtype`` (bigint if not given). NULL stays NULL."""
     dtype = dtype or T.LongType()
+    if dtype == KEY_TYPE:
+        return _key_hash(x, seed)
     if isinstance(dtype, T.NumericType):
-        prefix = _raw(_le32(seed) + _le32(TAG_NUMBER))
+        prefix = raw(tag_bytes(seed) + tag_bytes(TAG_NUMBER))
         return digest64(F.concat(prefix, le64_bytes(as_int64(x, dtype))))
-    data = F.concat(_raw(_le32(seed)), _element(x, dtype, _raw(b"")))
+    data = F.concat(raw(tag_bytes(seed)), _element(x, dtype, raw(b"")))
     return F.when(x.isNotNull(), digest64(data))
 
 
+def _key_hash(part: Column, seed: int) -> Column:
+    """The hash of a key part: that of a column of its kind. A missing field has none."""
+    rank, text = part["rank"], part["text"]
+    number = F.coalesce(as_int64(part["exact"], T.DecimalType(38, 18)), truncated(part["number"]))
+    sized = F.concat(le32_bytes(F.octet_length(text)), F.encode(text, "UTF-8"))
+
+    def tagged(tag: int, *data: Column) -> Column:
+        return digest64(F.concat(raw(tag_bytes(seed) + tag_bytes(tag)), *data))
+
+    return (
+        F.when(rank.isNull(), None).when(rank == NUMBER, hash64(number, seed=seed))
+        .when(rank.isin(TEXT, OBJECT_ID), hash64(text, T.StringType(), seed)).when(rank == NULL, tagged(TAG_NULL))
+        .when(rank == BOOLEAN, hash64(part["exact"] == 1, T.BooleanType(), seed))
+        .when(rank.isin(DATE, STAMP), tagged(TAG_DATE, le64_bytes(number)))
+        .when(rank == ARRAY, tagged(TAG_ARRAY, sized)).otherwise(tagged(TAG_OBJECT, le32_bytes(rank), sized)))
+
+
 def hash_column(df: DataFrame, name: str, seed: int = SEED) -> Column:
     """``hash64`` of a column of ``df``, typed from its schema."""
     return hash64(F.col(name), df.select(name).schema[0].dataType, seed)

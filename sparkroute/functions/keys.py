@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkroute.functions.hashing import hash_column
+from sparkroute.functions.hashing import KEY_TYPE, hash_column
 
 HASHED = "hashed"
 ASC = "asc"
@@ -105,8 +105,9 @@ def require_key(df: DataFrame, key: ShardKey) -> DataFrame:
 
 
 def doc_bytes(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """Bytes of a document: of the given text columns, else of the whole row as JSON."""
+    """Bytes of a document: of the given text columns, else of the whole row as JSON, without key parts."""
     if columns:
         sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c in columns]
         return reduce(lambda a, b: a + b, sizes).cast("bigint")
-    return F.octet_length(F.to_json(F.struct(*df.columns))).cast("bigint")
+    own = [f.name for f in df.schema.fields if f.dataType != KEY_TYPE]
+    return F.octet_length(F.to_json(F.struct(*own))).cast("bigint")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkroute.functions.hashing import INT64_MAX
+from sparkroute.functions.hashing import INT64_MAX, KEY_TYPE
 from sparkroute.functions.keys import ASC, DESC, ShardKey
 from sparkroute.operators.small import broadcast_if_small, byte_size
 
@@ -106,6 +106,8 @@ def _exact_text(bound: Column, dtype: T.DataType) -> Column:
         return F.hex(bound)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(bound).cast("string")
+    if dtype == KEY_TYPE:
+        return F.to_json(F.struct(*[bound[n].cast("string").alias(n) for n in dtype.names]), {"ignoreNullFields": "false"})
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
         raise ValueError(f"a key field of type {dtype.simpleString()} has no bounds; name its fields")
     return bound.cast("string")
@@ -120,6 +122,9 @@ def _literal_bounds(rows: list, dtypes: list[T.DataType]) -> list[Column]:
             columns.append(F.transform(values, F.unhex))
         elif isinstance(dtype, T.TimestampType):
             columns.append(F.transform(values, lambda x: F.timestamp_micros(x.cast("bigint"))))
+        elif dtype == KEY_TYPE:
+            texts = T.StructType([T.StructField(n, T.StringType()) for n in dtype.names])
+            columns.append(F.transform(values, lambda x: F.from_json(x, texts).cast(KEY_TYPE)))
         else:
             columns.append(values.cast(T.ArrayType(dtype)))
     return columns

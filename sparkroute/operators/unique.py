@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkroute.functions.dynamic import comparable, has_variant
+
 MODES = ("fail", "first", "quarantine")
 
 
@@ -24,8 +26,11 @@ def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in key]
     lead = [c for c in order if c not in key]
     trail = [c for c in rest if c not in lead]
-    row = F.min(F.struct(*lead, *trail)).alias("__row")
-    first = df.groupBy(*key).agg(row)
+    columns = [*lead, *trail]
+    row = F.min(F.struct(*columns))
+    if has_variant(df.select(*columns).schema):
+        row = F.min_by(F.struct(*columns), F.struct(*[comparable(df, c).alias(c) for c in columns]))
+    first = df.groupBy(*key).agg(row.alias("__row"))
     return first.select(*[F.col(c) if c in key else F.col("__row")[c].alias(c) for c in df.columns])
 
 
@@ -36,12 +41,14 @@ def set_aside(df: DataFrame, key: list[str], order: list[str]) -> tuple[DataFram
     the map side, so copies of a hot key stay few on the way.
     """
     first = keep_first(df, key, order)
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("__n"))
-    kept = first.select(
-        *[F.col(c).alias(f"__{c}") for c in key], F.struct(*df.columns).alias("__first")
-    )
+    texts = F.struct(*[comparable(df, c).alias(c) for c in df.columns])
+    if has_variant(df.schema):
+        counted = df.groupBy(texts.alias("__row")).agg(F.count("*").alias("__n"), *[F.first(c).alias(c) for c in df.columns])
+    else:
+        counted = df.groupBy(*df.columns).agg(F.count("*").alias("__n"))
+    kept = first.select(*[F.col(c).alias(f"__{c}") for c in key], texts.alias("__first"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
-    is_first = F.struct(*df.columns).eqNullSafe(F.col("__first"))
+    is_first = texts.eqNullSafe(F.col("__first"))
     left = (F.col("__n") - is_first.cast("bigint")).alias("n_rows")
     rest = counted.join(kept, same).select(*df.columns, left).where("n_rows > 0")
     return first, rest.withColumn("reason", F.lit("duplicate key"))

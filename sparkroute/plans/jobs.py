@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkroute.functions.extjson import normalize_ext_json
+from sparkroute.functions.dynamic import DOC, comparable, with_id, with_keys
+from sparkroute.functions.extjson import missing, normalize_ext_json
 from sparkroute.functions.keys import (
     HASH_COLUMN,
     ShardKey,
@@ -121,7 +122,7 @@ def load(
     spark = rows.sparkSession
     key = ShardKey.parse(key)
     shards = sorted(shards)
-    tie = [F.col(c).asc_nulls_first() for c in tiebreak]
+    tie = [comparable(rows, c).asc_nulls_first() for c in tiebreak]
 
     good, aside = rows, None
     if quarantine:
@@ -269,11 +270,66 @@ def load_folder(
     return load(good, target, key, input_type=input_type, **options)
 
 
+def read_dynamic(lines: DataFrame, id_for: str | None = None, fail: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Whole documents of lines of extended JSON as the variant ``doc``, and the quarantine of the rest.
+
+    With ``id_for`` a document without that field gets one made from its content, as its first field. With
+    ``fail`` the first bad line fails the job that reads the documents.
+    """
+    parsed = parse_documents(lines)
+    if fail:
+        message = F.concat(F.col("reason"), F.lit(" line in "), F.col("file"))
+        good = parsed.where(fail_where(F.col("reason").isNotNull(), message))
+    else:
+        good = parsed.where("reason IS NULL")
+    if id_for:
+        lacks = good.withColumn("__lacks", missing(F.col("doc"), f'$["{id_for}"]'))
+        bare = lacks.where("__lacks").select("value", "file", F.lit(None).cast("string").alias("__id"))
+        named = add_id(bare, ["value", "file"], "__id")
+        named = parse_documents(named.select(with_id(F.col("value"), F.col("__id"), id_for).alias("value"), "file"))
+        good = lacks.where("NOT __lacks").select(DOC).unionByName(named.select(DOC))
+    return good.select(DOC), parsed.where("reason IS NOT NULL").select("file", "value", "reason")
+
+
+def load_dynamic(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    key: ShardKey | str | dict = DEFAULT_KEY,
+    input_type: str = "json",
+    file_regex: str | None = None,
+    make_id: bool = True,
+    quarantine: str | None = None,
+    **options,
+) -> Report | None:
+    """Loads a folder of documents whole, whatever their fields; nothing to read is a clean end: None.
+
+    The target has the variant ``doc`` and the key fields as key parts. Bad lines and documents that lack a key
+    field go to ``quarantine``, or fail the job without it; a null key field is a key. Ids are made up only
+    where ``_id`` is part of the key.
+    """
+    key = ShardKey.parse(key)
+    lines = read_source(spark, folder, input_type, file_regex)
+    if is_empty_source(lines):
+        return None
+    good, bad = read_dynamic(lines, ID if make_id and ID in key.names else None, fail=quarantine is None)
+    if quarantine:
+        again = options.get("mode") == "overwrite"
+        bad.write.mode("overwrite" if again else "append").parquet(f"{quarantine}/lines")
+        options["quarantine"] = f"{quarantine}/rows"
+    return load(with_keys(good, key), target, key, input_type=input_type, **options)
+
+
+def rekeyed(rows: DataFrame, key: ShardKey | str | dict) -> DataFrame:
+    """Whole documents under a key; rows of declared columns as they are."""
+    return with_keys(rows.select(DOC), key) if dict(rows.dtypes).get(DOC) == "variant" else rows
+
+
 def reshard(
     rows: DataFrame, target: str, key: ShardKey | str | dict, mode: str = "overwrite", **options
 ) -> Report:
     """The same rows under a new key and new chunks."""
-    return load(rows.drop(CHUNK), target, key, mode=mode, **options)
+    return load(rekeyed(rows.drop(CHUNK), key), target, key, mode=mode, **options)
 
 
 def dump(
@@ -292,7 +348,7 @@ def dump(
     bytes in each numbered file instead (64 MiB is usual), with one folder per file.
     """
     key = ShardKey.parse(key)
-    rows = rows.drop(CHUNK)
+    rows = rekeyed(rows.drop(CHUNK), key)
     n = chunks if key.hashed else 1
     routed, table = plan_and_route(
         require_key(rows, key), key, [DUMP_SHARD], n, sharded=key.hashed
@@ -300,8 +356,8 @@ def dump(
     if file_bytes is None:
         write_chunks(placed(routed).drop(HASH_COLUMN), path, "errorifexists", rows_per_file)
         return Report(table)
-    order = [F.col(c).asc_nulls_first() for c in rows.columns]
-    spread = F.xxhash64(*rows.columns)
+    order = [comparable(rows, c).asc_nulls_first() for c in rows.columns]
+    spread = F.xxhash64(*[comparable(rows, c) for c in rows.columns])
     bytes_of = size if size is not None else doc_bytes(rows)
     slots = spread_slots(rows, rows_per_slot)
     planned = file_plan(routed, order, spread, slots, bytes_of, file_bytes)
@@ -316,4 +372,4 @@ def restore(
     """Loads a dump again, under the same or another key."""
     rows = read_dump(spark, path).drop(CHUNK, "file_no")
     options.setdefault("mode", "overwrite")
-    return load(rows, target, key, input_type="dump", **options)
+    return load(rekeyed(rows, key), target, key, input_type="dump", **options)
