@@ -1,9 +1,11 @@
 """Routing of rows to the chunk that owns their key.
 
 Uniform hash chunks use a closed form. Any other chunk table is searched by bisection over
-its sorted bounds: about log2(chunks) comparisons per row, without a join and without a
+its sorted bounds: about log2(chunks) comparisons per row in generated code, without a join and without a
 shuffle, for keys of any orderable type. A chunk table too long for one constant array is
-cut into fences; a row then meets exactly one fence by an equi-join and bisects within it.
+cut into fences of a bounded number of bounds. The fences are a chunk table themselves and are searched the same
+way, level by level; a row then meets exactly one fence by an equi-join and bisects within it. The bounds
+of a level are sent to all executors as long as their measured size allows.
 """
 
 from __future__ import annotations
@@ -16,11 +18,14 @@ from pyspark.sql import types as T
 
 from sparkroute.functions.hashing import INT64_MAX, KEY_TYPE
 from sparkroute.functions.keys import ASC, DESC, ShardKey
-from sparkroute.operators.small import broadcast_if_small, byte_size
+from sparkroute.operators.once import computed_once
+from sparkroute.operators.small import broadcast_if_small, packed_bytes
 
 CHUNK = "chunk_id"
 MAX_INLINE = 1024
-FENCED_BROADCAST_BYTES = 256 << 20
+#: Bounds of a level up to this size in memory go to all executors; beyond, the rows are shuffled by fence.
+FENCED_BROADCAST_BYTES = 512 << 20
+LOW, FENCE, WITHIN = "__low", "__fence", "__within"
 
 Fields = list[tuple[str, str]]
 
@@ -100,6 +105,29 @@ def bisect(bounds: list[Column], size: int, fields: Fields) -> Column:
     return F.get(F.transform(F.array(key), search), 0)
 
 
+def search(df: DataFrame, bounds: list[Column], size: int, fields: Fields, out: str) -> DataFrame:
+    """Adds how many of the sorted ``bounds`` are at or below the key, as ``bisect`` does, in generated code.
+
+    Each round is a projection on the one before, which names its position twice, so the optimizer keeps
+    them apart. The last step is computed once and lets no filter through, which would repeat all rounds.
+    """
+    low = F.col(LOW)
+    df = df.withColumn(LOW, F.lit(0))
+    for step in [1 << i for i in reversed(range(max(size, 1).bit_length()))]:
+        at = low + step - 1
+        reached = None
+        for i, (name, kind) in reversed(list(enumerate(fields))):
+            bound, value = F.get(bounds[i], at), F.col(name)
+            if reached is None:
+                reached = bound >= value if kind == DESC else bound <= value
+            else:
+                beyond = bound > value if kind == DESC else bound < value
+                reached = beyond | ((bound == value) & reached)
+        df = df.withColumn(LOW, F.when(reached, low + step).otherwise(low))
+    others = [c for c in df.columns if c not in (LOW, out)]
+    return computed_once(df, others, {out: low})
+
+
 def _exact_text(bound: Column, dtype: T.DataType) -> Column:
     """A bound as text that gives exactly the same value back, in any session time zone."""
     if isinstance(dtype, T.BinaryType):
@@ -139,7 +167,8 @@ def route(
 ) -> DataFrame:
     """Adds the chunk whose half-open range ``[min_key, max_key)`` holds the row's key.
 
-    ``chunks`` is a gap-free chunk table with chunk numbers 0, 1, ... in key order.
+    ``chunks`` is a gap-free chunk table with chunk numbers 0, 1, ... in key order. Of more than ``max_inline``
+    bounds, so many are a fence.
     """
     fields = key_fields(key)
     parts = [bound_part("max_key", fields, name).alias(f"b{i}") for i, (name, _) in enumerate(fields)]
@@ -147,31 +176,32 @@ def route(
     dtypes = [table.schema[f"b{i}"].dataType for i in range(len(fields))]
     texts = [_exact_text(F.col(f"b{i}"), dtype) for i, dtype in enumerate(dtypes)]
 
+    if max_inline < 2:
+        raise ValueError("a fence needs at least two bounds")
     rows = table.orderBy(CHUNK).limit(max_inline + 1).select(*texts).collect()
     if len(rows) <= max_inline:
-        found = bisect(_literal_bounds(rows, dtypes), len(rows), fields)
-        return df.withColumn(out, found.cast("bigint"))
-    return _route_fenced(df, table, texts, dtypes, fields, out, max_inline)
-
+        return search(df, _literal_bounds(rows, dtypes), len(rows), fields, out).withColumn(out, F.col(out).cast("bigint"))
+    return _route_fenced(df, table, fields, out, max_inline)
 
-def _route_fenced(df, table, texts, dtypes, fields, out, max_inline):
-    n = table.count()
-    stride = -(-n // max_inline)
-    last = table.where(F.pmod(F.col(CHUNK) + 1, F.lit(stride)) == 0)
-    rows = last.orderBy(CHUNK).limit(max_inline).select(*texts).collect()
-    fence = bisect(_literal_bounds(rows, dtypes), len(rows), fields)
 
+def _route_fenced(df: DataFrame, table: DataFrame, fields: Fields, out: str, rows: int) -> DataFrame:
+    """Routes by bounds ``b0, b1, ...`` numbered by chunk: first to the fence of ``rows`` of them, then within it."""
     columns = [f"b{i}" for i in range(len(fields))]
-    run = F.array_sort(F.collect_list(F.struct(CHUNK, *columns)))  # at most ``stride`` bounds
-    runs = table.groupBy(_div(F.col(CHUNK), stride).cast("int").alias("__fence"))
-    runs = runs.agg(run.alias("__run"))
-    runs = runs.select("__fence", *[F.col("__run")[c].alias(f"__{c}") for c in columns])
-    if byte_size(table) <= FENCED_BROADCAST_BYTES:  # some millions of bounds; beyond, the rows are shuffled by fence
+    last = F.pmod(F.col(CHUNK) + 1, F.lit(rows)) == 0
+    top = F.col("b0") if len(fields) == 1 else F.struct(*[F.col(b).alias(name) for b, (name, _) in zip(columns, fields, strict=True)])
+    fences = table.where(last).select((_div(F.col(CHUNK) + 1, rows) - 1).alias(CHUNK), top.alias("max_key"))
+    df = route(df, fences, fields, FENCE, rows)
+
+    run = F.array_sort(F.collect_list(F.struct(CHUNK, *columns)))  # at most ``rows`` bounds
+    runs = table.groupBy(_div(F.col(CHUNK), rows).alias("__of")).agg(run.alias("__run"))
+    runs = runs.select("__of", *[F.col("__run")[c].alias(f"__{c}") for c in columns])
+    if packed_bytes(table.select(*columns)) <= FENCED_BROADCAST_BYTES:
         runs = F.broadcast(runs)
-    df = df.withColumn("__fence", fence).join(runs, "__fence", "left")
-    within = bisect([F.col(f"__{c}") for c in columns], stride, fields)
-    place = F.col("__fence").cast("bigint") * stride + F.coalesce(within, F.lit(0))
-    return df.withColumn(out, place).drop("__fence", *[f"__{c}" for c in columns])
+    df = df.join(runs, F.col(FENCE) == F.col("__of"), "left")
+    within = search(df, [F.col(f"__{c}") for c in columns], rows, fields, WITHIN)
+    place = F.col(FENCE) * rows + F.coalesce(F.col(WITHIN), F.lit(0))
+    used = (FENCE, WITHIN, "__of", out, *[f"__{c}" for c in columns])
+    return within.withColumn("__place", place).drop(*used).withColumnRenamed("__place", out)
 
 
 def key_fields(key: ShardKey | Fields | str) -> Fields:

@@ -1,5 +1,6 @@
 import bisect as py_bisect
 import random
+import re
 
 import pytest
 from conftest import plan_of
@@ -34,7 +35,7 @@ def test_null_hash_has_no_chunk(spark):
         assert route_hash(df, n, "h").first().chunk_id is None
 
 
-@pytest.mark.parametrize("inline", [4, 33, 100, 1024])
+@pytest.mark.parametrize("inline", [2, 4, 33, 100, 1024])
 def test_many_chunks(spark, inline):
     random.seed(3)
     splits = random.sample(range(10_000), 100)
@@ -80,6 +81,28 @@ def test_routing_neither_joins_nor_shuffles(spark, load_table):
         assert "Join" not in plan and "Exchange" not in plan and "Python" not in plan
 
 
+def test_millions_of_text_bounds(spark):
+    """Three levels of fences; the rows are not exchanged, and every level is generated code."""
+    n = 5_000_000
+    text = lambda c: F.lpad(c.cast("string"), 12, "0")
+    bounds = spark.range(n).select(F.col("id").alias("chunk_id"), text((F.col("id") + 1) * 10).alias("max_key"))
+    chunks = bounds.union(spark.range(1).select(F.lit(n).cast("bigint"), F.lit(None).cast("string")))
+    keys = [0, 9, 10, 11, 10_239, 10_240, 10_250, 24_999_995, 49_999_999, 50_000_000, 50_000_001]
+    rows = spark.createDataFrame([(k,) for k in keys], "k bigint").withColumn("key", text(F.col("k")))
+    routed = route(rows, chunks, "key")
+    assert {r.k: r.chunk_id for r in routed.collect()} == {k: min(k // 10, n) for k in keys}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # stages of generated code are marked before the run then
+    try:
+        plan = plan_of(routed.where("chunk_id > 5"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    rows_side = re.split(r"\n[ :]*\+- BroadcastExchange", plan)[0]
+    lines = [line for line in rows_side.splitlines() if re.search(r"(Project|Generate|Filter|BroadcastHashJoin) ", line)]
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and "lambda" not in rows_side
+    assert len(lines) > 20 and all(re.search(r"\*\(\d+\) ", line) for line in lines)
+    assert not re.search(r"^[ :]*\+?-? ?Exchange", rows_side, re.M)
+
+
 def test_filter_on_a_searched_chunk(spark, load_table):
     orders = load_table("orders")
     chunks = chunks_from_splits(orders.where("o_orderkey < 100"), "o_orderkey", "s")
