@@ -93,9 +93,11 @@ def split_by_key(df: DataFrame, key: ShardKey) -> tuple[DataFrame, DataFrame]:
 def fail_where(bad: Column, message: Column) -> Column:
     """A filter that keeps every row, and fails the job at the first ``bad`` one.
 
-    As a filter it stays in the plan whichever columns are read later.
+    As a filter it stays in the plan whichever columns are read later. It counts as not deterministic, so it
+    is never merged with filters below it, whose rows it must not see.
     """
-    return F.coalesce(F.when(bad, F.raise_error(message).cast("boolean")), F.lit(True))
+    passed = F.spark_partition_id() >= 0
+    return F.when(bad, F.raise_error(message).cast("boolean")).otherwise(passed)
 
 
 def require_key(df: DataFrame, key: ShardKey) -> DataFrame:

@@ -7,7 +7,7 @@ import time
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,9 +33,20 @@ from sparkroute.plans.chunks import (
     hash_chunks,
 )
 from sparkroute.plans.splits import range_chunks
-from sparkroute.session import freeze
+from sparkroute.sinks.manifest import (
+    RUN,
+    clean,
+    commit,
+    layout_table,
+    names_in,
+    new_run,
+    read_manifest,
+    remove,
+    run_folder,
+    write_layout_table,
+)
 from sparkroute.sinks.stats import append_stats
-from sparkroute.sinks.tables import placed, read_layout, write_chunks, write_layout
+from sparkroute.sinks.tables import MODES, has_data, placed, read_chunk_table, write_chunks
 from sparkroute.sources.bson import read_bson
 from sparkroute.sources.collection import read_dump
 from sparkroute.sources.files import is_empty_source
@@ -43,6 +54,8 @@ from sparkroute.sources.json_lines import parse_documents, read_lines
 
 DEFAULT_KEY = {ID: "hashed"}
 DUMP_SHARD = "dump"
+#: The folder name that Spark gives to rows without a chunk.
+NO_CHUNK = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass
@@ -75,18 +88,21 @@ def plan_and_route(
     """Rows with their chunk (a hashed key leaves its hash column), and the chunk table.
 
     Hashed keys get a uniform presplit. Range keys use ``chunks`` if given, else split keys
-    found by size in the rows themselves. An unsharded target has one chunk.
+    found by size in the rows themselves. An unsharded target has one chunk. Rows without a complete key have no chunk.
     """
     spark = rows.sparkSession
     keyed, fields = key.routed(rows)
     if not sharded:
-        return keyed.withColumn(CHUNK, F.lit(0).cast("bigint")), single_chunk(spark, shards[0])
-    if key.hashed and chunks is None:
+        routed, chunks = keyed.withColumn(CHUNK, F.lit(0).cast("bigint")), single_chunk(spark, shards[0])
+    elif key.hashed and chunks is None:
         n = chunk_total(shards, chunks_per_shard)
-        return route_hash(keyed, n, HASH_COLUMN), hash_chunks(spark, n, shards)
-    if chunks is None:
-        chunks = range_chunks(keyed, fields, size if size is not None else doc_bytes(rows), shards, max_bytes)
-    return route(keyed, chunks, fields), chunks
+        routed, chunks = route_hash(keyed, n, HASH_COLUMN), hash_chunks(spark, n, shards)
+    else:
+        if chunks is None:
+            bytes_of = size if size is not None else doc_bytes(rows)
+            chunks = range_chunks(keyed.where(~key.missing()), fields, bytes_of, shards, max_bytes)
+        routed = route(keyed, chunks, fields)
+    return routed.withColumn(CHUNK, F.when(~key.missing(), F.col(CHUNK))), chunks
 
 
 def load(
@@ -108,74 +124,82 @@ def load(
     stats: str | None = None,
     input_type: str = "table",
     note: str | None = None,
+    run: str | None = None,
 ) -> Report:
-    """Loads ``rows`` into the chunked Parquet table ``target``.
+    """Loads ``rows`` into the chunked Parquet table ``target``, as a new version of it.
 
     ``sort`` sorts each chunk by key (and ``tiebreak``); else rows are only brought to their
     chunk. Rows without a complete key fail the job, or go to the path ``quarantine``.
     ``unique`` is ``fail``, ``first`` or ``quarantine``, against the rows in the target too.
     The chunk table and the key are kept with the target; an append goes into those chunks, and
-    is refused under another key. ``check`` counts source and result
+    is refused under another key, or into a folder with data of unknown key. ``check`` compares the counts of source and result
     and fails if a row is missing. ``stats`` appends a line on the run to that CSV folder.
+
+    The table changes only when all is written and checked. ``run`` names the run for a retry: if the run is
+    in the table already nothing is done, and what a killed attempt left behind is written anew.
     """
+    if mode not in MODES:
+        raise ValueError(f"bad mode: {mode}; one of {', '.join(MODES)}")
+    if unique == "quarantine" and not quarantine:
+        raise ValueError("unique='quarantine' needs a quarantine path")
     started = time.time()
     spark = rows.sparkSession
-    key = ShardKey.parse(key)
+    key, spec = ShardKey.parse(key), json.dumps(list(ShardKey.parse(key).fields))
     shards = sorted(shards)
-    tie = [comparable(rows, c).asc_nulls_first() for c in tiebreak]
+    stored = read_manifest(spark, target)
+    if run and stored and run in stored.runs:
+        return Report(layout_table(spark, target, stored))
+    if mode == "errorifexists" and (stored or has_data(spark, target)):
+        raise ValueError(f"{target} exists already")
+    if mode == "append" and not stored and has_data(spark, target):
+        raise ValueError(f"{target} has data of unknown key and chunks; overwrite it or load elsewhere")
+    if mode == "append" and stored:
+        known = layout_table(spark, target, stored)
+        if stored.key != spec:
+            raise ValueError(f"{target} has the key {stored.key}, not {spec}")
+        if chunks is not None and chunks.select("max_key", "shard").exceptAll(known.select("max_key", "shard")).take(1):
+            raise ValueError(f"{target} has other chunks; load it anew or leave the chunks out")
+        chunks = known
 
-    good, aside = rows, None
-    if quarantine:
-        good, aside = split_by_key(rows, key)
-        aside = aside.withColumn("n_rows", F.lit(1).cast("bigint"))
-    else:
-        good = require_key(rows, key)
+    run = run or new_run()
+    counted = Observation() if check or stats else None
+    source = rows.observe(counted, F.count(F.lit(1)).alias("n")) if counted else rows
+    aside = None
+    good = source if quarantine else require_key(source, key)
     if unique:
-        order = [*tiebreak] or [c for c in rows.columns if c not in key.names]
-        good, doubles = enforce_unique(good, key.names, unique, order)
-        if doubles is not None:
-            if not quarantine:
-                raise ValueError("unique='quarantine' needs a quarantine path")
-            aside = aside.unionByName(doubles)
-        if mode == "append" and _exists(spark, target):
-            known = spark.read.parquet(target)
-            if unique == "fail":
-                taken = existing(good, known, key.names).limit(1).collect()
-                if taken:
-                    raise ValueError(f"key is in the target already: {[taken[0][k] for k in key.names]}")
-            if unique == "quarantine":
-                taken = existing(good, known, key.names).withColumn("n_rows", F.lit(1).cast("bigint"))
-                aside = aside.unionByName(taken.withColumn("reason", F.lit("key exists")))
-            good = not_existing(good, known, key.names)
-
-    spec = json.dumps(list(key.fields))
-    stored = read_layout(spark, target) if mode == "append" and _exists(spark, target) else None
-    if stored:
-        if stored[1] != spec:
-            raise ValueError(f"{target} has the key {stored[1]}, not {spec}")
-        if chunks is not None and chunks.select("max_key", "shard").exceptAll(stored[0].select("max_key", "shard")).take(1):
-            raise ValueError(f"{target} has other chunks; load it anew or leave the chunks out")
-        chunks = stored[0]
-    routed, table = plan_and_route(
-        good, key, shards, chunks_per_shard, chunks, None, max_bytes, sharded
-    )
+        complete = good.where(~key.missing())
+        good, aside = _unique(complete, rows, target, key, unique, [*tiebreak], mode == "append" and stored is not None)
+        if quarantine:
+            lacking = split_by_key(rows, key)[1].withColumn("n_rows", F.lit(1).cast("bigint"))
+            aside = lacking if aside is None else lacking.unionByName(aside)
+
+    routed, table = plan_and_route(good, key, shards, chunks_per_shard, chunks, None, max_bytes, sharded)
+    tie = [comparable(rows, c).asc_nulls_first() for c in tiebreak]
     written = placed(routed, [*key.order(), *tie] if sort else None, partitions)
-    before = spark.read.parquet(target).count() if check and mode == "append" and _exists(spark, target) else 0
-    if aside is not None:
-        aside = freeze(aside)  # before the target changes, which some of its rows were compared with
-    write_chunks(written.drop(HASH_COLUMN), target, mode)
-    if not stored:
-        write_layout(table, spec, target)
+    folder = run_folder(target, run)
+    write_chunks(written.drop(HASH_COLUMN), folder, "overwrite")
 
     report = Report(table)
-    if aside is not None:
-        aside.write.mode("overwrite" if mode == "overwrite" else "append").parquet(quarantine)
-        report.rows_quarantined = aside.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-    if check or stats:
-        report.rows_in = rows.count()
-        report.rows_out = spark.read.parquet(target).count() - before
-    if check and unique != "first" and report.rows_in != report.rows_out + report.rows_quarantined:
-        raise RuntimeError(f"rows are missing or doubled: {report}")
+    if quarantine:
+        if aside is None:
+            aside = _without_chunk(spark, folder, rows, key)
+        report.rows_quarantined = _set_aside(aside, run_folder(quarantine, run), mode == "overwrite" and quarantine)
+        remove(spark, f"{folder}/{CHUNK}={NO_CHUNK}")
+    if counted:
+        report.rows_in = counted.get["n"]
+        report.rows_out = _rows_in(spark, folder)
+        if check and unique != "first" and report.rows_in != report.rows_out + report.rows_quarantined:
+            report.rows_in = rows.count()  # counts taken on the way are too high where an executor was lost
+            if report.rows_in != report.rows_out + report.rows_quarantined:
+                raise RuntimeError(f"rows are missing or doubled: {report}")
+    if mode == "append" and stored:
+        layout = stored.layout
+    else:
+        layout = write_layout_table(table, target)
+    commit(spark, target, run, spec, layout, replace=mode == "overwrite")
+    if mode == "overwrite":
+        clean(spark, target)
+
     report.seconds = time.time() - started
     if stats:
         append_stats(
@@ -195,15 +219,45 @@ def load(
     return report
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a table at ``path`` already."""
-    try:
-        spark.read.parquet(path)
-    except Exception as error:  # the two conditions of a table that is not there yet
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return False
-        raise
-    return True
+def _unique(
+    good: DataFrame, rows: DataFrame, target: str, key: ShardKey, mode: str, tiebreak: list[str], against: bool
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows that may be written under a unique key, also ``against`` those in the target, and the others."""
+    order = tiebreak or [c for c in rows.columns if c not in key.names]
+    good, aside = enforce_unique(good, key.names, mode, order)
+    if not against:
+        return good, aside
+    known = read_chunk_table(rows.sparkSession, target)
+    if mode == "fail":
+        taken = existing(good, known, key.names).limit(1).collect()
+        if taken:
+            raise ValueError(f"key is in the target already: {[taken[0][k] for k in key.names]}")
+    if mode == "quarantine":
+        taken = existing(good, known, key.names).withColumn("n_rows", F.lit(1).cast("bigint"))
+        aside = aside.unionByName(taken.withColumn("reason", F.lit("key exists")))
+    return not_existing(good, known, key.names), aside
+
+
+def _without_chunk(spark: SparkSession, folder: str, rows: DataFrame, key: ShardKey) -> DataFrame:
+    """The rows without a complete key, which were written with the others but to a folder of their own."""
+    lost = spark.createDataFrame([], rows.schema)
+    if f"{CHUNK}={NO_CHUNK}" in names_in(spark, folder):
+        lost = spark.read.schema(rows.schema).parquet(f"{folder}/{CHUNK}={NO_CHUNK}")
+    return split_by_key(lost, key)[1].withColumn("n_rows", F.lit(1).cast("bigint"))
+
+
+def _set_aside(aside: DataFrame, folder: str, emptied: str | bool) -> int:
+    """Writes a quarantine to its run's folder, anew if it is there; the rows it stands for."""
+    spark = aside.sparkSession
+    if emptied:
+        remove(spark, emptied)
+    aside.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(aside.schema).parquet(folder).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+
+
+def _rows_in(spark: SparkSession, folder: str) -> int:
+    """Rows of a run, from the files' footers."""
+    return spark.read.parquet(folder).count() if names_in(spark, folder) != ["_SUCCESS"] else 0
 
 
 def read_source(
@@ -240,6 +294,17 @@ def read_documents(
     return good.drop("value", "file"), bad
 
 
+def _lines_aside(bad: DataFrame, target: str, quarantine: str, options: dict) -> str:
+    """Writes bad lines to the folder of the run that is to come, anew if a killed attempt wrote it; the run's name."""
+    spark, run = bad.sparkSession, options.get("run") or new_run()
+    stored = read_manifest(spark, target)
+    if not (stored and run in stored.runs):
+        if options.get("mode") == "overwrite":
+            remove(spark, f"{quarantine}/lines")
+        bad.write.mode("overwrite").parquet(run_folder(f"{quarantine}/lines", run))
+    return run
+
+
 def load_folder(
     spark: SparkSession,
     folder: str,
@@ -264,8 +329,7 @@ def load_folder(
         return None
     good, bad = read_documents(lines, schema, make_id, fail=quarantine is None)
     if quarantine:
-        again = options.get("mode") == "overwrite"
-        bad.write.mode("overwrite" if again else "append").parquet(f"{quarantine}/lines")
+        options["run"] = _lines_aside(bad, target, quarantine, options)
         options["quarantine"] = f"{quarantine}/rows"
     return load(good, target, key, input_type=input_type, **options)
 
@@ -314,8 +378,7 @@ def load_dynamic(
         return None
     good, bad = read_dynamic(lines, ID if make_id and ID in key.names else None, fail=quarantine is None)
     if quarantine:
-        again = options.get("mode") == "overwrite"
-        bad.write.mode("overwrite" if again else "append").parquet(f"{quarantine}/lines")
+        options["run"] = _lines_aside(bad, target, quarantine, options)
         options["quarantine"] = f"{quarantine}/rows"
     return load(with_keys(good, key), target, key, input_type=input_type, **options)
 
@@ -329,7 +392,7 @@ def reshard(
     rows: DataFrame, target: str, key: ShardKey | str | dict, mode: str = "overwrite", **options
 ) -> Report:
     """The same rows under a new key and new chunks."""
-    return load(rekeyed(rows.drop(CHUNK), key), target, key, mode=mode, **options)
+    return load(rekeyed(rows.drop(CHUNK, RUN), key), target, key, mode=mode, **options)
 
 
 def dump(
@@ -348,13 +411,18 @@ def dump(
     bytes in each numbered file instead (64 MiB is usual), with one folder per file.
     """
     key = ShardKey.parse(key)
-    rows = rekeyed(rows.drop(CHUNK), key)
+    rows = rekeyed(rows.drop(CHUNK, RUN), key)
+    spark, run = rows.sparkSession, new_run()
+    if names_in(spark, path):
+        raise ValueError(f"{path} exists already")
+    folder, spec = run_folder(path, run), json.dumps(list(key.fields))
     n = chunks if key.hashed else 1
     routed, table = plan_and_route(
         require_key(rows, key), key, [DUMP_SHARD], n, sharded=key.hashed
     )
     if file_bytes is None:
-        write_chunks(placed(routed).drop(HASH_COLUMN), path, "errorifexists", rows_per_file)
+        write_chunks(placed(routed).drop(HASH_COLUMN), folder, "errorifexists", rows_per_file)
+        commit(spark, path, run, spec, write_layout_table(table, path))
         return Report(table)
     order = [comparable(rows, c).asc_nulls_first() for c in rows.columns]
     spread = F.xxhash64(*[comparable(rows, c) for c in rows.columns])
@@ -362,7 +430,8 @@ def dump(
     slots = spread_slots(rows, rows_per_slot)
     planned = file_plan(routed, order, spread, slots, bytes_of, file_bytes)
     planned = planned.drop(HASH_COLUMN, "row_no", "bytes_to")
-    planned.write.mode("errorifexists").partitionBy(CHUNK, "file_no").parquet(path)
+    planned.write.mode("errorifexists").partitionBy(CHUNK, "file_no").parquet(folder)
+    commit(spark, path, run, spec, write_layout_table(table, path))
     return Report(table)
 
 

@@ -89,7 +89,7 @@ def reconcile(spark, sf_dir):
     target, aside = scratch_dir(spark, "loaded"), scratch_dir(spark, "quarantine")
     shards = names(shard_table(spark, sf_dir))
     load(keyed, target, {"o_custkey": "hashed"}, shards, PER_SHARD, quarantine=aside)
-    return reconcile_counts(keyed, spark.read.parquet(target), spark.read.parquet(aside))
+    return reconcile_counts(keyed, read_chunk_table(spark, target), spark.read.parquet(aside))
 
 
 @query(
@@ -110,9 +110,9 @@ def round_trip(spark, sf_dir):
     by_order, by_customer = {"o_orderkey": "hashed"}, {"o_custkey": "hashed"}
 
     load(source, paths["loaded"], by_order, **options)
-    reshard(spark.read.parquet(paths["loaded"]), paths["resharded"], by_customer, **options)
-    reshard(spark.read.parquet(paths["resharded"]), paths["back"], by_order, **options)
-    dump(spark.read.parquet(paths["back"]), paths["dump"], by_order, 16)
+    reshard(read_chunk_table(spark, paths["loaded"]), paths["resharded"], by_customer, **options)
+    reshard(read_chunk_table(spark, paths["resharded"]), paths["back"], by_order, **options)
+    dump(read_chunk_table(spark, paths["back"]), paths["dump"], by_order, 16)
     restore(spark, paths["dump"], paths["restored"], by_order, **options)
 
     columns, result = source.columns, None

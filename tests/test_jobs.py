@@ -148,7 +148,7 @@ def folder(tmp_path):
 def test_load_folder(spark, folder):
     target, aside = scratch_dir(spark, "t"), scratch_dir(spark, "q")
     load_folder(spark, folder, target, SCHEMA, quarantine=aside, shards=SHARDS, chunks_per_shard=2)
-    rows = spark.read.parquet(target)
+    rows = read_chunk_table(spark, target)
     assert rows.count() == 23 and rows.select("_id").distinct().count() == 23
     assert set(rows.columns) == {"_id", "n", "chunk_id"}
     bad = spark.read.parquet(f"{aside}/lines")
