@@ -2,67 +2,92 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkroute.functions.keys import ShardKey, order_columns
-from sparkroute.operators.routing import Fields, add_shard, key_fields, route
-from sparkroute.operators.small import broadcast_if_small
+from sparkroute.operators.routing import CHUNK, Fields, key_fields, route
+from sparkroute.operators.small import BROADCAST_BYTES, broadcast_if_small, byte_size
 from sparkroute.plans.chunks import (
     MAX_DOCS_PER_CHUNK,
     SPLIT_BYTES,
     chunk_ranges,
-    docs_per_chunk,
     oversized_shards,
     place_round_robin,
     refine_chunks,
 )
-from sparkroute.session import freeze
+from sparkroute.session import ensure_shipped, freeze
 
 POLICIES = ("auto", "none", "force")
 
 
-def size_splits(
-    df: DataFrame,
-    fields: Fields,
-    size: Column,
-    max_bytes: int = SPLIT_BYTES,
-    group: str | None = None,
-    partitions: int | None = None,
+def key_sizes(
+    df: DataFrame, fields: Fields, size: Column, groups: list[str] = (), partitions: int | None = None
 ) -> DataFrame:
-    """Split keys such that the chunks between them hold about ``max_bytes``.
+    """Rows and bytes per key (and group), range-placed and sorted by key, written once, with their partition.
 
-    Bytes are first summed per key (combined on the map side, so a hot key is one row).
-    The running sum has two levels: within a range partition, and over the totals of the
-    partitions, of which there are few. With ``group`` every group is split on its own.
+    The sums combine on the map side, so a hot key is one row. All that is planned from the sizes reads
+    this narrow table; the rows themselves are read once.
     """
     names = [name for name, _ in fields]
-    groups = [group] if group else []
-    sized = df.groupBy(*groups, *names).agg(F.sum(size).alias("__bytes"))
-    order = [*[F.col(g) for g in groups], *order_columns(fields)]
-    if partitions:
-        ranged = sized.repartitionByRange(partitions, *order)
-    else:
-        ranged = sized.repartitionByRange(*order)
-    ranged = freeze(ranged.withColumn("__part", F.spark_partition_id()))
+    sized = df.groupBy(*groups, *names).agg(F.sum(size).alias("__bytes"), F.count("*").alias("__rows"))
+    return _placed_sizes(sized, fields, partitions)
+
+
+def _placed_sizes(sizes: DataFrame, fields: Fields, partitions: int | None = None) -> DataFrame:
+    order = order_columns(fields)
+    ranged = sizes.repartitionByRange(partitions, *order) if partitions else sizes.repartitionByRange(*order)
+    return freeze(ranged.sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()))
+
+
+def running_bytes(sizes: DataFrame, group: str | None = None) -> DataFrame:
+    """Adds ``__run``, the bytes before each row of its partition (and group), by position: no exchange, no sort."""
+
+    def add(batches):
+        totals: dict = {}
+        for batch in batches:
+            sizes_in = batch.column("__bytes").to_numpy(zero_copy_only=False).astype(np.int64)
+            runs = np.empty(len(sizes_in), np.int64)
+            if group is None:
+                codes, found = np.zeros(len(sizes_in), np.int64), [None]
+            else:
+                coded = batch.column(group).dictionary_encode(null_encoding="encode")
+                codes, found = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+            for code, name in enumerate(found):
+                at = codes == code
+                upto = np.cumsum(sizes_in[at]) + totals.get(name, 0)
+                runs[at] = upto - sizes_in[at]
+                totals[name] = int(upto[-1]) if len(upto) else totals.get(name, 0)
+            yield batch.append_column("__run", pa.array(runs))
+
+    ensure_shipped(sizes.sparkSession)
+    schema = T.StructType([*sizes.schema.fields, T.StructField("__run", T.LongType())])
+    return sizes.mapInArrow(add, schema)
+
 
-    totals = ranged.groupBy(*groups, "__part").agg(F.sum("__bytes").alias("__total"))
+def splits_of(sizes: DataFrame, fields: Fields, max_bytes: int, group: str | None = None) -> DataFrame:
+    """Split keys from placed key sizes: ``chunk_no`` and ``split_key`` (per ``group``).
+
+    The running sum has two levels: within a placed partition, and over the totals of the
+    partitions, of which there are few.
+    """
+    names = [name for name, _ in fields]
+    groups = [group] if group else []
+    sizes = sizes.withColumn("__bytes", F.coalesce(F.col("__bytes"), F.lit(0)).cast("bigint"))
+    totals = sizes.groupBy(*groups, "__part").agg(F.sum("__bytes").alias("__total"))
     earlier = Window.partitionBy(*groups) if group else Window.partitionBy(F.lit(0))
     earlier = earlier.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *groups, "__part", F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__before")
     )
-    within = (
-        Window.partitionBy(*groups, "__part")
-        .orderBy(*order_columns(fields))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    run = ranged.withColumn("__run", F.coalesce(F.sum("__bytes").over(within), F.lit(0)))
     start = F.col("__before") + F.col("__run")
     chunk = F.call_function("div", start, F.lit(max_bytes).cast("bigint"))
     key = F.col(names[0]) if len(names) == 1 else F.struct(*names)
     return (
-        run.join(broadcast_if_small(offsets), [*groups, "__part"])
+        running_bytes(sizes, group).join(broadcast_if_small(offsets), [*groups, "__part"])
         .select(*groups, key.alias("__key"), start.alias("__start"), chunk.alias("chunk_no"))
         .where("chunk_no > 0")
         .groupBy(*groups, "chunk_no")
@@ -70,6 +95,19 @@ def size_splits(
     )
 
 
+def size_splits(
+    df: DataFrame,
+    fields: Fields,
+    size: Column,
+    max_bytes: int = SPLIT_BYTES,
+    group: str | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Split keys such that the chunks between them hold about ``max_bytes``; with ``group`` in each on its own."""
+    sizes = key_sizes(df, fields, size, [group] if group else [], partitions)
+    return splits_of(sizes, fields, max_bytes, group)
+
+
 def plan_source_chunks(
     df: DataFrame,
     chunks: DataFrame,
@@ -82,20 +120,25 @@ def plan_source_chunks(
     """Chunk table to read ``df`` by: the known chunks, refined where a shard is oversized.
 
     ``none`` keeps the known chunks, ``auto`` refines shards with too many documents per
-    chunk, ``force`` refines every shard and fails if no split key can be found at all.
+    chunk, ``force`` refines every shard and fails if no split key can be found at all. The rows are read
+    once, for their sizes by chunk and key; counts and splits come from those.
     """
     if policy not in POLICIES:
         raise ValueError(f"bad split policy: {policy}; one of {', '.join(POLICIES)}")
     if policy == "none":
         return chunks
     fields = key_fields(key)
-    routed = route(df, chunks, fields)
-    large = oversized_shards(docs_per_chunk(routed), chunks, max_docs, policy).select("shard")
-    large = freeze(large)
+    sizes = key_sizes(route(df, chunks, fields), fields, size, [CHUNK])
+    per_chunk = sizes.groupBy(CHUNK).agg(F.sum("__rows").alias("n_docs"))
+    large = freeze(oversized_shards(per_chunk, chunks, max_docs, policy).select("shard"))
     if large.isEmpty():
         return chunks
-    rows = add_shard(routed, chunks.join(large, "shard"))
-    splits = freeze(size_splits(rows, fields, size, max_bytes, group="shard"))
+    owner = chunks.join(broadcast_if_small(large), "shard").select(CHUNK, "shard")
+    if byte_size(owner) <= BROADCAST_BYTES:  # keeps the rows in their places
+        owned = sizes.join(F.broadcast(owner), CHUNK)
+    else:
+        owned = _placed_sizes(sizes.drop("__part").join(owner, CHUNK), fields)
+    splits = freeze(splits_of(owned, fields, max_bytes, group="shard"))
     if splits.isEmpty() and policy == "force":
         raise ValueError("splits were requested but no split key was found")
     return refine_chunks(chunks, splits, fields)

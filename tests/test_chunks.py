@@ -151,3 +151,39 @@ def test_a_large_table_is_numbered_alike(spark, monkeypatch):
     large = make_chunks(spark, bounds)
     assert large.count() == 501 and large.exceptAll(small).count() == 0
     assert unordered_bounds(large).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_size_splits_like_one_running_sum(spark, partitions):
+    """Groups that lie scattered over the placed partitions, null keys and null sizes."""
+    rows = [(f"g{(i * 7) % 3}" if i % 11 else None, (i * 37) % 101 or None, None if i % 13 == 0 else i % 50) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g string, k int, n long")
+    got = {(r.g, r.chunk_no): r.split_key for r in size_splits(df, [("k", "asc")], F.col("n"), 900, "g", partitions).collect()}
+    expected, totals = {}, {}
+    for g, k, n in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0)):
+        totals.setdefault((g, k), 0)
+        totals[g, k] += n or 0
+    before = {}
+    for (g, k), n in totals.items():
+        at = before.get(g, 0)
+        if at // 900 > 0:
+            expected.setdefault((g, at // 900), k)
+        before[g] = at + n
+    assert {key: v for key, v in got.items() if key[0]} == {key: v for key, v in expected.items() if key[0]}
+
+
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_split_policy_reads_the_rows_once(spark, monkeypatch, limit):
+    monkeypatch.setattr("sparkroute.plans.splits.BROADCAST_BYTES", limit)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    rows = spark.range(5000).select(F.col("id").alias("k")).mapInPandas(count, "k bigint")
+    ends = spark.createDataFrame([(1000, "a"), (2000, "b"), (None, "a")], "max_key bigint, shard string")
+    refined = plan_source_chunks(rows, chunk_ranges(ends), "k", F.lit(10).cast("bigint"), "auto", 1500, 10_000)
+    assert refined.count() > 3 and seen.value == 5000
+    assert {r.shard for r in refined.where("min_key >= 1000 AND max_key <= 2000").collect()} == {"b"}
