@@ -192,20 +192,50 @@ def oversized_chunks(per_chunk: DataFrame, max_docs: int = MAX_DOCS_PER_CHUNK) -
     return per_chunk.where(F.col("n_docs") > max_docs)
 
 
+def overlapping_ranges(ranges: DataFrame, fields: Fields | None = None) -> DataFrame:
+    """Ranges that begin before the one ahead of them (by lower end) is over, with its ends.
+
+    If any two ranges overlap, then so do two neighbours: whatever begins between them begins in the first one too.
+    """
+    fields = fields or [("min_key", ASC)]
+    parts = []
+    for name, kind in fields:
+        part = bound_part("min_key", fields, name)
+        parts.append(part.desc() if kind == DESC else part.asc())
+    order = [F.col("min_key").isNull().desc(), *parts, F.col("max_key").isNull().asc()]
+    if is_small(ranges):
+        by_key = Window.orderBy(*order)
+        pairs = ranges.withColumn("low_before", F.lag("min_key").over(by_key)).withColumn(
+            "high_before", F.lag("max_key").over(by_key)).withColumn("first", F.row_number().over(by_key) == 1)
+    else:
+        placed = positioned(ranges, order, "__no")
+        ahead = placed.select((F.col("__no") + 1).alias("__no"), F.col("min_key").alias("low_before"),
+                              F.col("max_key").alias("high_before"), F.lit(False).alias("first"))
+        pairs = placed.join(ahead, "__no", "left").drop("__no").withColumn("first", F.coalesce("first", F.lit(True)))
+    inside = F.lit(False)
+    for name, kind in reversed(fields):
+        low, high = bound_part("min_key", fields, name), bound_part("high_before", fields, name)
+        inside = (low > high if kind == DESC else low < high) | (low.eqNullSafe(high) & inside)
+    begins_open = F.col("min_key").isNull() | F.col("high_before").isNull()
+    return pairs.where(~F.col("first") & (begins_open | inside)).drop("first")
+
+
 def tag_violations(
     chunks: DataFrame, tag_ranges: DataFrame, shards: DataFrame, fields: Fields | None = None
 ) -> DataFrame:
     """Chunks that overlap a tag range without lying on one of the tag's shards.
 
-    ``fields`` gives the key fields and directions; one ascending field if left out. Two tag
-    ranges with the same lower end are refused. All bounds of both tables cut the key axis into pieces; each piece lies in one chunk
+    ``fields`` gives the key fields and directions; one ascending field if left out. Tag ranges that
+    overlap are refused. All bounds of both tables cut the key axis into pieces; each piece lies in one chunk
     and at most one tag range, so two look-ups of its lower end find both.
     """
     spark = chunks.sparkSession
     fields = fields or [("piece", ASC)]
-    twice = tag_ranges.groupBy("min_key").agg(F.count("*").alias("n")).where("n > 1")
-    if not twice.isEmpty():
+    if tag_ranges.groupBy("min_key").count().where("count > 1").take(1):
         raise ValueError("two tag ranges begin at the same key")
+    twice = overlapping_ranges(tag_ranges, fields).limit(1).collect()
+    if twice:
+        raise ValueError(f"tag range from {twice[0].min_key} begins before the one from {twice[0].low_before} is over")
     dtype = chunks.schema["min_key"].dataType
     ends = (
         chunks.select(F.col("min_key").alias("piece"))

@@ -187,3 +187,27 @@ def test_split_policy_reads_the_rows_once(spark, monkeypatch, limit):
     refined = plan_source_chunks(rows, chunk_ranges(ends), "k", F.lit(10).cast("bigint"), "auto", 1500, 10_000)
     assert refined.count() > 3 and seen.value == 5000
     assert {r.shard for r in refined.where("min_key >= 1000 AND max_key <= 2000").collect()} == {"b"}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_overlapping_ranges(spark, monkeypatch, small):
+    from sparkroute.plans.chunks import overlapping_ranges, tag_violations
+
+    monkeypatch.setattr("sparkroute.plans.chunks.is_small", lambda df: small)
+
+    def found(rows, fields=None, kind="int"):
+        df = spark.createDataFrame([(*r, "t") for r in rows], f"min_key {kind}, max_key {kind}, tag string")
+        return sorted((r.min_key for r in overlapping_ranges(df, fields).collect()), key=str)
+
+    assert found([(0, 10), (10, 20), (30, None)]) == []
+    assert found([(0, 100), (50, 60), (70, 80)]) == [50]
+    assert found([(None, 5), (4, 9), (9, None), (20, 30)]) == [20, 4]
+    assert found([(0, None), (5, 6)]) == [5] and found([(None, 5), (None, 3)]) == [None]
+    pair = "struct<a: int, b: int>"
+    fields = [("a", "desc"), ("b", "asc")]
+    assert found([((9, 1), (9, 5)), ((9, 5), (3, 0)), ((3, 0), None)], fields, pair) == []
+    assert len(found([((9, 1), (8, 5)), ((8, 4), (3, 0))], fields, pair)) == 1
+    chunks = chunk_ranges(spark.createDataFrame([(100, "s"), (None, "s")], "max_key int, shard string"))
+    tags = spark.createDataFrame([(0, 100, "A"), (50, 60, "B")], "min_key int, max_key int, tag string")
+    with pytest.raises(ValueError, match="before the one from 0"):
+        tag_violations(chunks, tags, spark.createDataFrame([("s", "A")], "shard string, tag string"))
