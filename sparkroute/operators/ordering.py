@@ -174,3 +174,63 @@ def file_plan(
     placed = numbered(df, order, spread, slots, size, totals)
     start = F.greatest(F.col("bytes_to") - 1, F.lit(0).cast("bigint"))
     return placed.withColumn("file_no", F.call_function("div", start, F.lit(room).cast("bigint")))
+
+
+SMALL_CLASS = 4
+
+
+def size_class(size: Column, limit: int) -> Column:
+    """0 for documents above half of ``limit``, 1 above a quarter, ..., ``SMALL_CLASS`` for small ones."""
+    found = F.lit(SMALL_CLASS)
+    for c in reversed(range(SMALL_CLASS)):
+        found = F.when(size > limit >> (c + 1), F.lit(c)).otherwise(found)
+    return found
+
+
+def packed_files(df: DataFrame, order: list, spread: Column, size: Column, limit: int, rows_per_slot: int = 1_000_000) -> DataFrame:
+    """Adds ``file_no``: files of at most ``limit`` bytes per chunk, numbered per chunk, however large single documents are.
+
+    A file holds one document above half of the limit, or two above a quarter, four above an eighth, eight above a
+    sixteenth; all smaller ones fill files of their own up to seven eighths at least. So a few large documents do not make the
+    files of the others small. Sizes and places are counted on a narrow table that is written once. Each chunk and
+    class is cut into slots by ``spread`` as its own count demands, so a chunk's numbering is no single task,
+    and few rows make few slots.
+    """
+    groups = ["__chunk", "__class"]
+    base = df.withColumn("__size", size).withColumn("__spread", spread)
+    base = base.withColumn("__chunk", F.coalesce(F.col(CHUNK), F.lit(-1).cast("bigint")))
+    base = base.withColumn("__class", size_class(F.col("__size"), limit))
+    narrow = freeze(base.select(*groups, "__size", "__spread"))
+    largest = narrow.agg(F.max("__size")).first()[0] or 0
+    if largest > limit:
+        raise ValueError(f"a document of {largest} bytes does not fit files of {limit} bytes")
+
+    room = limit - (limit >> SMALL_CLASS)
+    counts = narrow.groupBy(*groups).agg(F.count("*").alias("__n"), F.sum("__size").alias("__bytes"))
+    per_file = F.call_function("shiftleft", F.lit(1), F.col("__class"))
+    files = F.when(F.col("__class") < SMALL_CLASS, F.ceil(F.col("__n") / per_file)).otherwise(
+        F.call_function("div", F.greatest(F.col("__bytes"), F.lit(1)) - 1, F.lit(room).cast("bigint")) + 1)
+    ahead = Window.partitionBy("__chunk").orderBy("__class").rowsBetween(Window.unboundedPreceding, -1)
+    slots = F.ceil(F.col("__n") / rows_per_slot).cast("bigint")
+    classes = counts.withColumn("__files", files).select(
+        *groups, slots.alias("__slots"), F.coalesce(F.sum("__files").over(ahead), F.lit(0)).cast("bigint").alias("__first"))
+    classes = broadcast_if_small(freeze(classes))
+
+    slot = F.pmod(F.col("__spread"), F.col("__slots")).alias("__slot")
+    totals = narrow.join(classes, groups).select(*groups, slot, "__size").groupBy(*groups, "__slot").agg(
+        F.count("*").alias("__rows"), F.sum("__size").alias("__bytes"))
+    earlier = Window.partitionBy(*groups).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "__slot", *[
+        F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("__rows", "__bytes")])
+    offsets = broadcast_if_small(freeze(offsets))
+
+    within = Window.partitionBy(*groups, "__slot").orderBy(*order)
+    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = base.join(classes, groups).withColumn("__slot", slot)
+    placed = placed.withColumn("__row", F.row_number().over(within)).withColumn("__upto", F.sum("__size").over(upto))
+    placed = placed.join(offsets, [*groups, "__slot"])
+    row = F.col("__rows_before") + F.col("__row") - 1
+    start = F.col("__bytes_before") + F.col("__upto") - F.col("__size")
+    number = F.when(F.col("__class") < SMALL_CLASS, F.floor(row / per_file)).otherwise(
+        F.call_function("div", start.cast("bigint"), F.lit(room).cast("bigint")))
+    return placed.withColumn("file_no", (F.col("__first") + number).cast("bigint")).select(*df.columns, "file_no")

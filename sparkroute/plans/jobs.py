@@ -22,7 +22,7 @@ from sparkroute.functions.keys import (
     split_by_key,
 )
 from sparkroute.operators.ids import ID, add_id
-from sparkroute.operators.ordering import file_plan, spread_slots
+from sparkroute.operators.ordering import packed_files
 from sparkroute.operators.routing import CHUNK, route, route_hash
 from sparkroute.operators.unique import enforce_unique, existing, not_existing
 from sparkroute.plans.chunks import (
@@ -427,9 +427,7 @@ def dump(
     order = [comparable(rows, c).asc_nulls_first() for c in rows.columns]
     spread = F.xxhash64(*[comparable(rows, c) for c in rows.columns])
     bytes_of = size if size is not None else doc_bytes(rows)
-    slots = spread_slots(rows, rows_per_slot)
-    planned = file_plan(routed, order, spread, slots, bytes_of, file_bytes)
-    planned = planned.drop(HASH_COLUMN, "row_no", "bytes_to")
+    planned = packed_files(routed, order, spread, bytes_of, file_bytes, rows_per_slot).drop(HASH_COLUMN)
     planned.write.mode("errorifexists").partitionBy(CHUNK, "file_no").parquet(folder)
     commit(spark, path, run, spec, write_layout_table(table, path))
     return Report(table)

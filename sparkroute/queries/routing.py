@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkroute.functions.hashing import hash_column
-from sparkroute.operators.ordering import batches, file_plan, ranked
+from sparkroute.operators.ordering import batches, file_plan, packed_files, ranked
 from sparkroute.operators.routing import hash_shard, lookup, route, route_hash
 from sparkroute.plans.chunks import chunks_from_splits, place_round_robin
 from sparkroute.queries.registry import (
@@ -193,3 +193,29 @@ def size_bounded_files(spark, sf_dir):
     return planned.select("doc_id", "chunk_id", "file_no")
 
 
+PACK_LIMIT = 120_000
+SIZE_SQL = "octet_length(encode(text))"
+
+
+@query(
+    sql=f"""
+SELECT chunk_id, count(*) AS n_docs, sum({SIZE_SQL})::BIGINT AS n_bytes, true AS fits, true AS numbered, true AS full,
+  count(*) FILTER ({SIZE_SQL} > {PACK_LIMIT} // 2) AS alone,
+  (ceil(count(*) FILTER ({SIZE_SQL} BETWEEN {PACK_LIMIT} // 4 + 1 AND {PACK_LIMIT} // 2) / 2.0))::BIGINT AS pairs
+FROM {routed_sql('documents', 'doc_id', FILE_CHUNKS)} GROUP BY chunk_id
+"""
+)
+def file_plan_packed(spark, sf_dir):
+    """Files of bounded size where a few long documents do not make the files of the others small."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
+    routed = route_hash(hashed(documents, "doc_id"), FILE_CHUNKS, "key_hash")
+    planned = packed_files(routed, [F.col("doc_id")], F.col("key_hash"), F.col("n_bytes"), PACK_LIMIT, rows_per_slot=300)
+    files = planned.groupBy("chunk_id", "file_no").agg(
+        F.count("*").alias("n_docs"), F.sum("n_bytes").alias("n_bytes"), F.max("n_bytes").alias("longest"))
+    small = F.col("longest") <= PACK_LIMIT >> 4
+    loose = F.count_if(small & (F.col("n_bytes") < PACK_LIMIT - (PACK_LIMIT >> 3)))  # the last file of a chunk may be
+    half = F.col("longest") > PACK_LIMIT // 2
+    return files.groupBy("chunk_id").agg(
+        F.sum("n_docs").alias("n_docs"), F.sum("n_bytes").alias("n_bytes"), (F.max("n_bytes") <= PACK_LIMIT).alias("fits"),
+        (F.max("file_no") + 1 == F.count("*")).alias("numbered"), (loose <= 1).alias("full"),
+        F.count_if(half).alias("alone"), F.count_if(~half & (F.col("longest") > PACK_LIMIT // 4)).alias("pairs"))

@@ -4,7 +4,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from sparkroute.operators.ordering import batches, file_plan, ranked, sort_chunks, spread_slots
+from sparkroute.operators.ordering import batches, file_plan, packed_files, ranked, sort_chunks, spread_slots
 from sparkroute.sinks.tables import one_partition_per_chunk, placed, read_chunk_table, write_chunks
 from sparkroute.session import scratch_dir
 
@@ -92,3 +92,30 @@ def test_written_chunks_are_sorted(spark, skewed):
 def test_rebalance_keeps_rows(skewed):
     assert placed(skewed).exceptAll(skewed).count() == 0
     assert "REBALANCE" in plan_of(placed(skewed))
+
+
+@pytest.mark.parametrize("per_slot", [1, 50, 10**6])
+def test_large_documents_leave_other_files_full(spark, per_slot):
+    limit = 1600
+    sizes = [("a", i, 7 + i % 60) for i in range(900)] + [("a", 900, 1590)] + [("b", i, 300 + i % 90) for i in range(33)]
+    sizes += [("b", 100 + i, 900) for i in range(3)] + [(None, i, 0) for i in range(5)]
+    df = spark.createDataFrame(sizes, "c string, id int, n bigint").withColumn("chunk_id", F.expr("CASE c WHEN 'a' THEN 0 WHEN 'b' THEN 1 END").cast("bigint"))
+    planned = packed_files(df, [F.col("id")], F.xxhash64("id"), F.col("n"), limit, per_slot).collect()
+    assert sorted((r.c or "", r.id) for r in planned) == sorted((c or "", i) for c, i, _ in sizes)
+    files = defaultdict(list)
+    for r in planned:
+        files[r.c, r.file_no].append(r.n)
+    assert all(sum(f) <= limit for f in files.values())
+    for chunk in ("a", "b", None):
+        numbers = sorted(no for c, no in files if c == chunk)
+        assert numbers == list(range(len(numbers)))
+        full = [f for (c, _), f in files.items() if c == chunk and max(f) <= limit >> 4]
+        assert sum(sum(f) < limit - limit // 8 for f in full) <= 1  # but for the last one
+    assert [1590] in files.values() and sorted(len(f) for (c, _), f in files.items() if c == "b") == [1] * 4 + [4] * 8
+    with pytest.raises(ValueError, match="does not fit"):
+        packed_files(df, [F.col("id")], F.xxhash64("id"), F.col("n"), 1500)
+
+
+def test_packing_plan_scales(spark, skewed):
+    plan = plan_of(packed_files(skewed, [F.col("id")], F.xxhash64("id"), F.col("n") if "n" in skewed.columns else F.lit(5).cast("bigint"), 1000))
+    assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "Python" not in plan
