@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkroute.session import ensure_shipped, scratch_dir
+from sparkroute.sinks.manifest import remove
 
 WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 8 << 20
@@ -36,7 +37,15 @@ def write_once(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.written_at = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of ``write_once`` that nothing will read again: all that was made from them is written too."""
+    for table in tables:
+        remove(table.sparkSession, table.written_at)
 
 
 def sent_to_all(df: DataFrame, row_bytes: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkroute.llm.common import python_workers, sent_to_all, write_once
+from sparkroute.llm.common import discard, python_workers, sent_to_all, write_once
 from sparkroute.llm.shingles import shingle_sets, slices, words
 
 BUCKET_BITS = 17
@@ -160,24 +160,26 @@ def _sets_of(texts: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return wanted.mapInArrow(whole, "id long, items array<long>")
 
 
-def _checked(edges: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    """The pairs (a, b) of ``edges`` that link, compared on whole sets."""
+def _checked(edges: DataFrame, texts: DataFrame, percent: int, shingle: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The pairs (a, b) of ``edges`` that link, compared on whole sets, and the written tables they come from."""
     edges = write_once(edges, "candidates")
     nodes = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = write_once(_sets_of(texts, nodes, shingle), "sets")
     pairs = edges.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
     both = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - both
-    return pairs.where(100 * both >= percent * union).select("a", "b")
+    return pairs.where(100 * both >= percent * union).select("a", "b"), [edges, sets]
 
 
-def smallest_reachable(edges: DataFrame) -> DataFrame:
+def smallest_reachable(edges: DataFrame, spent: list[DataFrame] = ()) -> DataFrame:
     """(id, component) for each end of ``edges`` (a, b): the smallest id that links lead to.
 
-    Minimum labels with pointer jumping; each round is written to the shared folder.
+    Minimum labels with pointer jumping; each round is written to the shared folder. ``spent`` are written
+    tables that only ``edges`` is read from; they are removed once the edges are written.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = write_once(both.where("a <> b").distinct(), "links")
+    discard(*spent)
     labels = write_once(both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
     while True:
@@ -271,15 +273,18 @@ def jaccard_components(
         f"""head <> id and 100 * least(n, head_n) >= {percent} * greatest(n, head_n)
         and (not single or (n - 1 - pos >= {behind} and head_n - 1 - head_pos >= {behind}))"""
     ).select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    labels = smallest_reachable(_checked(stars, texts, percent, shingle))
+    labels = smallest_reachable(*_checked(stars, texts, percent, shingle))
     members = met.join(labels, "id", "left").select(
         "key", "single", "id", "n", "pos", F.coalesce("component", "id").alias("component"))
-    links = _checked(_candidates(write_once(members, "members"), percent, light), texts, percent, shingle)
+    members = write_once(members, "members")
+    discard(met)
+    links, spent = _checked(_candidates(members, percent, light), texts, percent, shingle)
+    discard(members)
     named_a = labels.toDF("a", "ca")
     named_b = labels.toDF("b", "cb")
     merged = links.join(named_a, "a", "left").join(named_b, "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    upper = smallest_reachable(merged)
+    upper = smallest_reachable(merged, spent)
     both = labels.select(F.col("id"), F.col("component").alias("mid")).unionByName(
         upper.select("id", F.col("id").alias("mid"))).groupBy("id").agg(F.min("mid").alias("mid"))
     final = both.join(upper.toDF("mid", "top"), "mid", "left").select("id", F.coalesce("top", "mid").alias("component"))
