@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -13,6 +14,8 @@ MARK = 0x2581  # stands for a blank in pieces
 LITERAL = 0x110000  # the mark itself in a text
 NEWLINE = 10
 RANK_SHIFT, ALPHA = 10.0, 0.5
+FEW = 4  # up to so many rows plain numbers are faster than arrays
+BLOCK = 1 << 16
 
 
 class Vocabulary:
@@ -131,7 +134,7 @@ class Lattices:
     A state is a code point of a distinct word; the choices of state s are the pieces that may
     be taken there, ``first[s]`` to ``first[s + 1]``, long ones first. ``chance`` is a choice's
     probability, given that the whole word is segmented with a probability proportional to the
-    product of its pieces' weights; ``length`` counts its code points and ``piece`` is its id
+    product of its pieces' weights; ``log`` is its logarithm; ``length`` counts its code points and ``piece`` is its id
     (below -1: -2 minus a code point that is spelt in byte pieces). In ``bar`` the last choice
     of a state is 2, which no draw passes.
     """
@@ -153,50 +156,108 @@ class Lattices:
         self.start = self.end - size
         pick = np.repeat(starts[first] - self.start, size) + np.arange(size.sum())
         self.codes = codes[pick]
-        piece, weight = self._edges()
-        self._chances(size, weight)
-        state, column = np.nonzero(weight)
-        self.first = np.searchsorted(state, np.arange(len(self.codes) + 1))
-        self.piece, self.chance = piece[state, column], weight[state, column]
-        self.length = (vocab.longest - column).astype(np.int8)
+        log_weight = self._edges()
+        self._chances(size, log_weight)
         self.bar = self.chance.copy()
         self.bar[self.first[1:] - 1] = 2.0
 
-    def _edges(self) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and weights of the pieces by state and column; column c is for ``longest`` - c code points."""
+    def _edges(self) -> np.ndarray:
+        """Set ``first``, ``piece`` and ``length`` of the choices; returns the logarithms of their weights."""
         vocab, n, m = self.vocab, len(self.codes), self.vocab.longest
         sums = _prefix_sums(self.codes)
         down = _power("down", max(n, 1))
-        room = np.repeat(self.end, self.end - self.start) - np.arange(n)
-        piece, weight = np.full((n, m), -1, np.int32), np.zeros((n, m))
-        weights = np.append(vocab.weight, 0.0)
         at = np.arange(n)
+        room = np.repeat(self.end, self.end - self.start) - at
+        log_weight = np.log(vocab.weight)
+        edges = []
+        counts = np.ones(n, np.int64)  # one code point is always a choice
         for k in range(1, m + 1):
             found = vocab.find(mixed((sums[at + k] - sums[at]) * down[at] + np.uint64(k)))
-            at, found = at[found >= 0], found[found >= 0]
-            ids = vocab.ids[found]
-            piece[at, m - k], weight[at, m - k] = ids, weights[ids]
+            if k == 1:
+                ids = np.where(found >= 0, vocab.ids[found], -1)
+                lone = np.flatnonzero(ids < 0)
+                code = self.codes[lone].astype(np.int64)
+                n_bytes = 1 + (code >= 0x80) + (code >= 0x800) + ((code >= 0x10000) & (code < LITERAL))
+                weights = log_weight[ids]
+                weights[lone] = np.log(vocab.byte_weight) * np.where(code == LITERAL, 3, n_bytes)
+                ids[lone] = -2 - code
+                edges.append((at, ids, weights))
+                at, found = at[found >= 0], found[found >= 0]
+            else:
+                at, found = at[found >= 0], found[found >= 0]
+                ids = vocab.ids[found]
+                whole = ids >= 0
+                edges.append((at[whole], ids[whole], log_weight[ids[whole]]))
+                counts[edges[-1][0]] += 1
             at = at[vocab.more[found] & (room[at] > k)]
-        lone = np.flatnonzero(piece[:, m - 1] < 0)
-        code = self.codes[lone].astype(np.int64)
-        n_bytes = 1 + (code >= 0x80) + (code >= 0x800) + ((code >= 0x10000) & (code < LITERAL))
-        piece[lone, m - 1] = -2 - code
-        weight[lone, m - 1] = vocab.byte_weight ** np.where(code == LITERAL, 3, n_bytes)
-        return piece, weight
-
-    def _chances(self, size: np.ndarray, weight: np.ndarray) -> None:
-        """Turn weights into probabilities by backward sums, kept as ratios to the next state's sum."""
-        m = self.vocab.longest
-        ratio = np.zeros((len(size), m))
-        ratio[:, m - 1] = 1.0  # column of the next state, at the word's end
-        for d in range(1, int(size[0]) + 1 if len(size) else 0):
-            active, low = int(np.searchsorted(-size, -d, "right")), max(m - d, 0)
-            state = self.end[:active] - d
-            w = weight[state, low:] if low else weight[state]
-            w *= ratio[:active, low:]
-            total = w.sum(1)[:, None]
-            w /= total
-            weight[state, low:] = w
-            low = max(low - 1, 0)
-            ratio[:active, low : m - 1] = ratio[:active, low + 1 :] / total
-            ratio[:active, m - 1] = 1.0
+        self.first = np.concatenate([[0], np.cumsum(counts)])
+        total = int(self.first[-1])
+        self.piece, self.length, out = np.empty(total, np.int32), np.empty(total, np.int8), np.empty(total)
+        free = self.first[:-1].copy()
+        for k in range(m, 0, -1):
+            at, ids, weights = edges.pop()
+            to = free[at]
+            self.piece[to], self.length[to], out[to] = ids, k, weights
+            free[at] += 1
+        return out
+
+    def _chances(self, size: np.ndarray, log_weight: np.ndarray) -> None:
+        """Set ``log`` and ``chance`` by backward sums, level by level from the words' ends.
+
+        Level d has the states d code points before an end, longest word first. The sums are kept as logarithms.
+        """
+        n, m = len(self.codes), self.vocab.longest
+        deepest = int(size[0]) if len(size) else 0
+        active = np.searchsorted(-size, -np.arange(1, deepest + 1), "right")
+        base = np.concatenate([[0], np.cumsum(active)])
+        word = np.repeat(np.arange(len(size)), size)
+        rank = base[self.end[word] - np.arange(n) - 1] + word
+        order = np.empty(n, np.int64)
+        order[rank] = np.arange(n)
+        counts = np.diff(self.first)
+        begin = np.concatenate([[0], np.cumsum(counts[order])])
+        pick = np.repeat(self.first[order] - begin[:-1], counts[order]) + np.arange(begin[-1])
+        state = np.repeat(np.arange(n), counts)
+        after = state + self.length
+        follow = np.where(after == self.end[word[state]], n, rank[np.minimum(after, max(n - 1, 0))])
+        w, x = log_weight[pick], follow[pick]
+        total = np.zeros(n + 1)  # by level; the last entry is a word's end
+        level = 0
+        while level < deepest and active[level] > FEW:
+            low, high = base[level], base[level + 1]
+            here = slice(begin[low], begin[high])
+            t = w[here] + total[x[here]]
+            at = begin[low:high] - begin[low]
+            top = np.maximum.reduceat(t, at)
+            t -= np.repeat(top, np.diff(begin[low : high + 1]))
+            total[low:high] = top + np.log(np.add.reduceat(np.exp(t), at))
+            level += 1
+        if level < deepest:
+            self._few(total, w, x, begin, int(base[level]), int(base[max(level - m, 0)]), n)
+        del w, x, pick
+        self.log = log_weight + total[follow] - total[rank[state]]
+        self.chance = np.exp(self.log)
+
+    def _few(self, total: np.ndarray, w: np.ndarray, x: np.ndarray, begin: np.ndarray, low: int, known: int, n: int) -> None:
+        """The sums of the levels with few states, from state ``low`` on; those back to ``known`` are needed."""
+        exp, log = math.exp, math.log
+        while low < n:
+            high = min(low + BLOCK, n)
+            first = int(begin[low])
+            weights, follow = w[first : begin[high]].tolist(), x[first : begin[high]].tolist()
+            ends = (begin[low + 1 : high + 1] - first).tolist()
+            sums = total[known:low].tolist()
+            i = 0
+            for end in ends:
+                terms = []
+                while i < end:
+                    to = follow[i]
+                    terms.append(weights[i] if to == n else weights[i] + sums[to - known])
+                    i += 1
+                if len(terms) == 1:
+                    sums.append(terms[0])
+                else:
+                    top = max(terms)
+                    sums.append(top + log(sum([exp(t - top) for t in terms])))
+            total[low:high] = sums[low - known :]
+            known, low = max(known, high - FEW * (self.vocab.longest + 1)), high

@@ -23,11 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sparkroute.llm.common import python_workers
-from sparkroute.llm.piece_lattice import LITERAL, MARK, Lattices, chunks, vocabulary
+from sparkroute.llm.piece_lattice import FEW, LITERAL, MARK, Lattices, chunks, vocabulary
 from sparkroute.llm.shingles import mixed, slices
 
 SEED = 4
-BATCH_BYTES = 512 << 10
+BATCH_BYTES = 1 << 20
+WALK_STEPS = 4096
 LOG_STEPS = float(1 << 28)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -85,7 +86,7 @@ class Search:
         steps = np.zeros(len(states), np.int64)
         took = []
         step = 0
-        while len(active):
+        while len(active) > FEW:
             rest = uniform(key + np.uint64((step // 64) % 2**64), count * np.int64(64) + np.int64(step % 64), 4 + round_ % 4)
             choice = lat.first[current]
             rest -= lat.bar[choice]
@@ -100,19 +101,48 @@ class Search:
             go = np.flatnonzero(current < word_end)
             active, current, word_end, key, count = active[go], current[go], word_end[go], key[go], count[go]
             step += 1
+        alone = [(int(w), step, *self._walk_one(*last, step, round_))
+                 for w, *last in zip(active, current, word_end, key, count, strict=True)]
+        for walk, _, st, _ in alone:
+            steps[walk] += len(st)
         at = np.cumsum(steps) - steps
         state = np.empty(steps.sum(), np.int64)
         choice = np.empty(steps.sum(), np.int64)
         for s, (walk, st, ch) in enumerate(took):
             to = at[walk] + s
             state[to], choice[to] = st, ch
+        for walk, s, st, ch in alone:
+            to = slice(at[walk] + s, at[walk] + s + len(st))
+            state[to], choice[to] = st, ch
         return steps, state, choice
 
+    def _walk_one(self, state: int, word_end: int, key: np.uint64, count: int, step: int, round_: int) -> tuple:
+        """The rest of one walk, in plain numbers: states and choices from ``step`` on."""
+        lat = self.lattices
+        first, bar, length = lat.first.item, lat.bar.item, lat.length.item
+        state, word_end = int(state), int(word_end)
+        states, choices = [], []
+        while state < word_end:
+            at = np.arange(step, step + min(word_end - state, WALK_STEPS))
+            step += len(at)
+            for rest in uniform(key + (at // 64).astype(np.uint64), count * np.int64(64) + at % 64, 4 + round_ % 4).tolist():
+                choice = first(state)
+                rest -= bar(choice)
+                while rest >= 0:
+                    choice += 1
+                    rest -= bar(choice)
+                states.append(state)
+                choices.append(choice)
+                state += length(choice)
+                if state >= word_end:
+                    break
+        return np.array(states, np.int64), np.array(choices, np.int64)
+
     def _bounds(self, paths: Paths, fixed: np.ndarray, round_: int) -> None:
         """Draw the bounds of the sets beside the steps from ``fixed`` (a place per text) on."""
         n = np.diff(paths.offsets)
         chance = self.lattices.chance[paths.choice]
-        log = np.round(np.log(chance) * LOG_STEPS) / LOG_STEPS  # so sums are exact, whatever texts stand around
+        log = np.round(self.lattices.log[paths.choice] * LOG_STEPS) / LOG_STEPS  # so sums are exact, whatever texts stand around
         total = np.concatenate([[0.0], np.cumsum(log)])
         owner = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(owner)) - paths.offsets[:-1][owner]
@@ -289,7 +319,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                     begin, flat = 0, ids.tolist()
                     for i, end in enumerate(ends):
                         if has[i]:
-                            ok[i] &= b"".join([table[x] for x in flat[begin:end]])[1:] == texts[i].encode("utf-8", "surrogatepass")
+                            ok[i] &= b"".join(map(table.__getitem__, flat[begin:end]))[1:] == texts[i].encode("utf-8", "surrogatepass")
                         begin = end
                     ranks.append((has, ids, sizes, log_prob, inclusion))
                 yield pa.RecordBatch.from_arrays([part.column(0), _structs(ranks), pa.array(ok)], [id_col, "samples", "decoded"])

@@ -45,3 +45,21 @@ def test_more_samples_follow_the_distribution(text, k):
         seen = Counter(got)
         for w in ways:
             assert abs(seen[w] / n - want[w]) < 5 * math.sqrt(want[w] / n) + 1e-4
+
+
+def test_long_word_and_short_word_levels_agree():
+    """A word of 300,000 characters ends in seconds; its probabilities are those of the same word among others."""
+    rng = np.random.default_rng(5)
+    word = "".join(rng.choice(list("abcdefghij"), 300_000))
+    (has, ids, sizes, log_prob, _), second = list(sampled(PIECE_MODEL, [word], np.array([3]), 2))
+    table = vocabulary(PIECE_MODEL).bytes
+    for ranked in (ids, second[1]):
+        assert b"".join(table[i] for i in ranked)[1:].decode() == word
+    assert has.all() and second[0].all() and list(ids) != list(second[1]) and np.isfinite(log_prob).all()
+    short = [word[:40], word[40:90]]
+    alone = [next(sampled(PIECE_MODEL, [w], np.array([9]), 1)) for w in short]
+    among = next(sampled(PIECE_MODEL, [*short, *[word[i : i + 60] for i in range(90, 900, 60)]], np.full(16, 9)[: 2 + 14], 1))
+    ends = np.cumsum(among[2])
+    for i, one in enumerate(alone):
+        assert list(one[1]) == list(among[1][ends[i] - among[2][i] : ends[i]])
+        assert abs(one[3][0] - among[3][i]) < 1e-6
