@@ -5,12 +5,15 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong"
     " sub sup time tt u var wbr br input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title svg iframe object select".split())
+TO_THE_END = frozenset("script style textarea title".split())  # without an end tag, these take the rest of the page
 CLOSES = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"},
@@ -29,8 +32,11 @@ UNWANTED = frozenset(
 REMARKS = frozenset("comment comments commentlist reply replies discussion respond reader readers feedback reviews disqus".split())
 MAIN = frozenset("article content main maincontent post entry story body text hentry prose markdown articlebody".split())
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+START = re.compile(r"<!--|<[!?]|</?[a-zA-Z]?")
+NAME_END = re.compile(r"[\s/>]|\Z")
+VALUES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+SPECIAL = re.compile(r"[>\"']")
+ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]++)")
 SPACE = re.compile(r"\s+")
 N_FEATURES = 26
 
@@ -46,6 +52,88 @@ class Node:
         self.links, self.keep, self.hidden, self.at = 0, False, False, 0
 
 
+class Tags:
+    """The tags of a page, found in time linear in its length however its quotes stand.
+
+    A tag ends at the first ``>`` outside quotes. Where a quote that is never closed leaves a tag without an
+    end, its ``<`` is text. After the first such tag the ends are looked up in a table made from
+    behind: the end seen from a quote is the end seen from behind its partner.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.size = source, len(source)
+        self.name_end = 0
+        self.places: list[int] | None = None
+        self.missing: set[str] = set()
+        self.closers: dict[str, re.Pattern] = {}
+
+    def _end(self, place: int) -> int:
+        """Behind the ``>`` that ends a tag whose name ends at ``place``, or -1."""
+        if self.places is None:
+            found = VALUES.match(self.source, place)
+            if found:
+                return found.end()
+            self._table()
+        return self.ends[bisect_left(self.places, place)]
+
+    def _table(self) -> None:
+        source = self.source
+        self.places = [m.start() for m in SPECIAL.finditer(source)]
+        n = len(self.places)
+        self.ends = [-1] * (n + 1)
+        partner = {}
+        for i in range(n - 1, -1, -1):
+            mark = source[self.places[i]]
+            if mark == ">":
+                self.ends[i] = self.places[i] + 1
+            else:
+                if mark in partner:
+                    self.ends[i] = self.ends[partner[mark] + 1]
+                partner[mark] = i
+
+    def next(self, place: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name, whether it closes, and attributes of the next tag; comments and the like have no name."""
+        source = self.source
+        while found := START.search(source, place):
+            start, begin = found.span()
+            opening = found.group()
+            if opening == "<!--":
+                end = source.find("-->", begin)
+                return start, end + 3 if end >= 0 else self.size, "", False, ""
+            if opening[-1] in "!?/":
+                end = -1 if ">" in self.missing else source.find(">", begin)
+                if end >= 0:
+                    return start, end + 1, "", False, ""
+                self.missing.add(">")
+            elif opening != "<":
+                if begin > self.name_end:
+                    self.name_end = NAME_END.search(source, begin).start()
+                name_end = max(self.name_end, begin)
+                end = self._end(name_end)
+                if end >= 0:
+                    closing = opening[1] == "/"
+                    return start, end, source[start + 1 + closing : name_end], closing, source[name_end : end - 1]
+                if opening[1] == "/":  # without an end by quotes, a closing tag ends at the next >
+                    end = -1 if ">" in self.missing else source.find(">", begin)
+                    if end >= 0:
+                        return start, end + 1, source[start + 2 : name_end], True, ""
+                    self.missing.add(">")
+            place = start + 1
+        return None
+
+    def behind(self, tag: str, place: int) -> int:
+        """Behind the end tag of the raw element ``tag`` opened before ``place``."""
+        if tag not in self.missing:
+            if tag not in self.closers:
+                self.closers[tag] = re.compile(rf"</{re.escape(tag)}\b", re.I)
+            found = self.closers[tag].search(self.source, place)
+            end = self.source.find(">", found.end()) if found else -1
+            if end >= 0:
+                return end + 1
+            self.missing.add(tag)
+        return self.size if tag in TO_THE_END else place
+
+
 def parse(source: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """Block nodes in order of the page, parents first, and the blocks of text with their nodes.
 
@@ -55,6 +143,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     root = Node("#root", None)
     nodes, blocks = [root], []
     stack = [root]  # open block elements
+    is_open: Counter = Counter()
     anchors = 0
     run: list[str] = []
     linked = 0
@@ -69,28 +158,30 @@ def parse(source: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             blocks.append((node, text))
         run, linked = [], 0
 
+    def leave(i):
+        for left in stack[i:]:
+            is_open[left.tag] -= 1
+        del stack[i:]
+
     place = 0
     size = len(source)
+    tags = Tags(source)
     while place < size:
-        found = TAG.search(source, place)
-        piece = source[place : found.start()] if found else source[place:]
+        found = tags.next(place)
+        piece = source[place : found[0]] if found else source[place:]
         if piece:
             run.append(piece)
             if anchors:
                 linked += len(piece.strip())
         if not found:
             break
-        place = found.end()
-        name = found.group(2)
+        _, place, name, closing, attributes = found
         if not name:
             continue
         tag = name.lower()
-        closing = bool(found.group(1))
         if tag in RAW and not closing:
-            attributes = found.group(3)
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, place)
-                place = end.end() if end else size
+                place = tags.behind(tag, place)
             continue
         if tag in INLINE:
             if tag == "a":
@@ -100,33 +191,34 @@ def parse(source: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             continue
         end_block()
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1 if is_open[tag] else 0, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    leave(i)
                     break
             anchors = 0
             continue
         if tag in ENDS_P:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    leave(i)
                     break
                 if stack[i].tag not in {"li", "dd", "dt"}:
                     break
         if tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1 if any(is_open[t] for t in CLOSES[tag]) else 0, 0, -1):
                 if stack[i].tag in CLOSES[tag]:
-                    del stack[i:]
+                    leave(i)
                     break
                 if stack[i].tag in SCOPE.get(tag, ()):
                     break
         node = Node(tag, stack[-1])
-        if found.group(3):
-            read_attributes(node, found.group(3))
+        if attributes:
+            read_attributes(node, attributes)
         node.parent.children.append(node)
         nodes.append(node)
-        if tag not in VOID and not found.group(3).endswith("/"):
+        if tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
+            is_open[tag] += 1
     end_block()
     return nodes, blocks
 

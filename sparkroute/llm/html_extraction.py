@@ -20,6 +20,7 @@ from sparkroute.llm.common import python_workers
 from sparkroute.llm.dom import N_FEATURES, Node, features, parse
 
 SAMPLE_PAGES, MADE_PAGES, SEED = 200, 500, 3
+SAMPLE_PAGE_BYTES = 256 << 10
 _WRAPPERS = [
     ("article", ""), ("article", 'class="post"'), ("main", ""), ("main", 'id="content"'), ("div", 'class="content"'),
     ("div", 'id="main-content"'), ("div", 'class="post-body entry"'), ("section", 'class="story"'), ("div", 'class="article-text"'),
@@ -128,12 +129,13 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
     """A model from ``MADE_PAGES`` pages of known structure, worded after the table's own pages.
 
     At most ``sample`` pages, chosen by a hash of their ids, lend their words; they are the only
-    rows that come to the driver, their first 20,000 characters each.
+    rows that come to the driver, whole. A chosen page above ``SAMPLE_PAGE_BYTES`` lends none.
     """
     place = F.xxhash64(F.lit(SEED), F.col(f"`{id_col}`"))
     known = pages.where(f"`{html_col}` is not null and `{id_col}` is not null").select(
-        place.alias("place"), F.col(f"`{id_col}`").alias("id"), F.substring(F.col(f"`{html_col}`"), 1, 20_000).alias("html"))
+        place.alias("place"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{html_col}`").alias("html"))
     ids = [row["id"] for row in known.select("place", "id").distinct().orderBy("place").limit(sample).collect()]
+    known = known.where(F.octet_length("html") <= SAMPLE_PAGE_BYTES)
     bank = []
     for row in known.where(F.col("id").isin(ids)).groupBy("id").agg(F.min("html").alias("html")).collect() if ids else []:
         bank += [text for _, text in parse(row["html"])[1] if len(text) > 40]
