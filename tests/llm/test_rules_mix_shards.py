@@ -137,8 +137,23 @@ def test_shard_edges(spark, rows):
 
 
 def test_splitters_inside_one_hash(spark):
-    keyed = spark.range(10_000).selectExpr("5L as h", "id * 3 as d", "2L as size")
+    keyed = spark.range(10_000).selectExpr("5L as h", "id * 3 as d", "id as u", "2L as size")
     splits = byte_splitters(keyed, 8)
-    assert [abs(n - 1250 * (i + 1)) <= 5 for i, (_, _, n) in enumerate(splits)] == [True] * 7
-    for h, d, n in splits:
+    assert [abs(n - 1250 * (i + 1)) <= 5 for i, (_, _, _, n) in enumerate(splits)] == [True] * 7
+    for h, d, _, n in splits:
         assert keyed.where(f"d < {d}").count() == n if h == 5 else n in (0, 10_000)
+
+
+@pytest.mark.parametrize("of_hot", [lambda i: (None, "the same text again"), lambda i: (7, "the same text again")])
+def test_shards_stay_even_with_a_third_of_rows_equal(spark, of_hot):
+    rows = [(*of_hot(i), "s") if i % 3 == 0 else (i, f"text {i} of its own", "s") for i in range(9000)]
+    placed, name = shard_documents(docs_of(spark, rows).repartition(6))
+    got = placed.select(f"{name}.*").collect()
+    size, slots = Counter(), defaultdict(list)
+    for r in got:
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    total = sum(size.values())
+    assert len(got) == 9000 and sorted(size) == list(range(8))
+    assert all(abs(s - total / 8) <= 0.002 * total for s in size.values())
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
