@@ -209,13 +209,14 @@ def file_plan_packed(spark, sf_dir):
     """Files of bounded size where a few long documents do not make the files of the others small."""
     documents = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
     routed = route_hash(hashed(documents, "doc_id"), FILE_CHUNKS, "key_hash")
-    planned = packed_files(routed, [F.col("doc_id")], F.col("key_hash"), F.col("n_bytes"), PACK_LIMIT, rows_per_slot=300)
+    planned = packed_files(routed, [F.col("doc_id")], F.col("key_hash"), F.col("n_bytes"), PACK_LIMIT, rows_per_slot=300, beyond="alone")
     files = planned.groupBy("chunk_id", "file_no").agg(
         F.count("*").alias("n_docs"), F.sum("n_bytes").alias("n_bytes"), F.max("n_bytes").alias("longest"))
     small = F.col("longest") <= PACK_LIMIT >> 4
     loose = F.count_if(small & (F.col("n_bytes") < PACK_LIMIT - (PACK_LIMIT >> 3)))  # the last file of a chunk may be
     half = F.col("longest") > PACK_LIMIT // 2
+    fits = (F.col("n_bytes") <= PACK_LIMIT) | (F.col("n_docs") == 1)  # a document beyond the limit is a file by itself
     return files.groupBy("chunk_id").agg(
-        F.sum("n_docs").alias("n_docs"), F.sum("n_bytes").alias("n_bytes"), (F.max("n_bytes") <= PACK_LIMIT).alias("fits"),
+        F.sum("n_docs").alias("n_docs"), F.sum("n_bytes").alias("n_bytes"), F.every(fits).alias("fits"),
         (F.max("file_no") + 1 == F.count("*")).alias("numbered"), (loose <= 1).alias("full"),
         F.count_if(half).alias("alone"), F.count_if(~half & (F.col("longest") > PACK_LIMIT // 4)).alias("pairs"))
