@@ -257,12 +257,14 @@ def jaccard_components(
     # a set that no larger or equal partner can differ from links with its copies only
     may_differ = F.expr(f"ceil({percent} * (2 * n + 1) / (100 + {percent})) <= n")
     sets = named.where(may_differ).join(nodes.select("d1", "d2", "id"), ["d1", "d2", "id"], "left_semi")
-    sets = sets.select("id", "n", "prefix")
+    # three readers of the prefixes: written, they are shuffled once
+    sets = write_once(sets.select("id", "n", "prefix"), "prefixes")
     light = light_boundary(sets)
     postings = _postings(sets, light, percent)
     # nearly all keys occur once: they are found by counts alone, before rows of full width meet
     repeated = postings.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
     met = write_once(postings.join(repeated, "key", "left_semi").select("key", "single", "id", "n", "pos"), "lists")
+    discard(sets)
     long = met.groupBy("key", "single").agg(
         F.count("*").alias("length"), F.min(F.struct("id", "n", "pos")).alias("head")).where(f"length > {STAR_FROM}")
     starred = met.join(long, ["key", "single"]).select(
