@@ -86,3 +86,16 @@ def test_lines_are_typed_once(spark, tmp_path):
     assert [r.n for r in good.collect()] == [1]
     assert sorted((r.value, r.reason) for r in bad.collect()) == [('{"n": "x"}', "bad type: n"), ("{bad", "malformed")]
     assert "parse_json" not in plan_of(good) and "parse_json" not in plan_of(bad)
+
+
+def test_prefixes_are_written_before_they_are_read_thrice(spark, monkeypatch):
+    """Pipeline: the boundary and both kinds of lists each shuffled the prefixes of all sets."""
+    from sparkroute.llm import jaccard_join
+
+    seen, made = [], jaccard_join._postings
+    monkeypatch.setattr(jaccard_join, "_postings", lambda sets, *rest: seen.append(plan_of(sets)) or made(sets, *rest))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "x"])), (3, " ".join(words[::-1]))]
+    out = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in out.collect()} == {1: 1, 2: 1, 3: 3}
+    assert "Exchange" not in seen[0] and "Join" not in seen[0]
