@@ -8,8 +8,8 @@ are bounded from the coarsest segments to the finest; only pairs that may still
 matter go on to the next level, and what is left is scored exactly.
 
 Rows are dealt to blocks, packed as matrices and written once. Anchors are packed too, a bounded
-number to a block; each block of rows meets each block of anchors by a join on a group
-number, and a task keeps the best five of each anchor. The positives come from a first run, and the windows
+number to a block. A bounded number of anchors' blocks at a time goes to all executors, where each meets each block of rows
+in the task that reads it, and a task keeps the best five of each anchor. The positives come from a first run, and the windows
 below their scores go into a second one. No pair of rows is ever a row of a table.
 """
 
@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkroute.llm.common import python_workers, sent_to_all, write_once
+from sparkroute.llm.common import BROADCAST_BYTES, discard, python_workers, write_once
+from sparkroute.session import scratch_dir
 
 #: Rows of a block, anchors of a block, and blocks of anchors that a task holds results of.
 ROWS = 4096
@@ -35,6 +36,9 @@ FINE = 4
 FAN = 4
 BEST = 5
 SCALE = 256
+#: Bytes of a packed anchor at most: so many a component, and for its numbers and slots.
+COMPONENT_BYTES = 12
+ANCHOR_BYTES = 256
 #: Bounds are widened by this share of the vectors' lengths, far above what rounding can add.
 SLACK = 1e-5
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -247,15 +251,18 @@ class Best:
 def _search(batches):
     """The best rows of the anchors of each block that meets blocks of rows."""
     held: dict[tuple, Best] = {}
+    uids, block = None, None
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            key = row["ag"], row["dim"]
+            if row["uids"] != uids:  # a block of rows meets its anchors one after another
+                uids, block = row["uids"], Block(row)
+            key = row["ag"], row["dim"], row["a_uids"]
             if key not in held:
                 if len(held) >= HELD:
                     yield held.pop(next(iter(held))).batch()
                 held[key] = Best(Block({c: row[f"a_{c}"] for c in _PACKED}))
-            held[key].add(Block(row))
+            held[key].add(block)
     for best in held.values():
         yield best.batch()
 
@@ -324,25 +331,38 @@ _ANCHOR = pa.schema([("ag", pa.int32()), *[(f"a_{c}", _BLOCK.field(c).type) for
 _ANCHOR_DDL = "ag int, a_dim int, a_n int, a_kind string, " + ", ".join(f"a_{c} binary" for c in _PACKED[3:])
 
 
-def _met(blocks: DataFrame, anchors: DataFrame, groups: int, spread: int) -> DataFrame:
-    """What each block of anchors finds in the blocks of rows, task by task."""
-    packed = anchors.repartition(max(groups, 1), "ag").sortWithinPartitions("ag", "dim").mapInArrow(_pack_anchors, _ANCHOR_DDL)
-    packed = write_once(packed, "anchors")
-    bytes_each = packed.agg(F.max(sum((F.octet_length(f"a_{c}") for c in _PACKED[3:]), F.lit(64)))).first()[0] or 0
-    every = packed.withColumn("a_rg", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    rows = blocks.withColumn("ag", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    sent = sent_to_all(every, row_bytes=bytes_each)
-    met = rows.join(sent.withColumnRenamed("ag", "a_ag"), (F.col("ag") == F.col("a_ag")) & (F.col("rg") == F.col("a_rg"))
-                    & (F.col("dim") == F.col("a_dim")))
-    return met.select("ag", *_PACKED, *[f"a_{c}" for c in _PACKED]).mapInArrow(_search, _FOUND_DDL)
-
-
 def _first(found: DataFrame, by: list[str]) -> DataFrame:
     """The best five per group, over all tasks, with their ``rank``."""
     order = Window.partitionBy(*by).orderBy(F.desc("score"), F.col("id").asc_nulls_last(), "uid")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= BEST)
 
 
+def _met(blocks: DataFrame, packed: DataFrame) -> DataFrame:
+    """What the blocks of anchors ``packed`` find in the blocks of rows, task by task; they go to all executors, the rows stay in place."""
+    met = blocks.join(F.broadcast(packed.withColumnRenamed("ag", "a_ag")), F.col("dim") == F.col("a_dim"))
+    return met.select(F.col("a_ag").alias("ag"), *_PACKED, *[f"a_{c}" for c in _PACKED]).mapInArrow(_search, _FOUND_DDL)
+
+
+def _searched(blocks: DataFrame, anchors: DataFrame, groups: int, by: list[str], round_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The best five per group ``by`` of the anchors, with their ``rank``, written once.
+
+    The groups of anchors take turns: as many meet the rows at once as a task holds results of and ``round_bytes``
+    allow, by the greatest bytes that were counted in a group. A turn's results are final, since no anchor has two.
+    """
+    spark = blocks.sparkSession
+    packed = anchors.repartition(groups, "ag").sortWithinPartitions("ag", "dim").mapInArrow(_pack_anchors, _ANCHOR_DDL)
+    packed = write_once(packed, "anchors")
+    size = sum((F.octet_length(f"a_{c}") for c in _PACKED[3:]), F.lit(64)).cast("bigint")
+    largest = packed.groupBy("ag").agg(F.sum(size).alias("size")).agg(F.max("size")).first()[0] or 1
+    turn = max(1, min(HELD, round_bytes // largest))
+    path = scratch_dir(spark, "found")
+    for start in range(0, groups, turn):
+        best = _first(_met(blocks, packed.where(F.col("ag").between(start, start + turn - 1))), by)
+        best.write.mode("append").parquet(path)
+    discard(packed)
+    return spark.read.schema(best.schema).parquet(path)
+
+
 def hard_negatives(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                    anchor_every: int = 100, relabel_every: int | None = 7, n_labels: int = 10) -> DataFrame:
     """Per anchor, positive and rank: anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
@@ -374,15 +394,16 @@ def hard_negatives(df: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     rows = rows.withColumn("dim", F.size("raw")).sortWithinPartitions("rg", "dim")
     rows = rows.select("uid", "id", "label", F.col("raw").cast("array<double>").alias("vector"), "rg", "dim")
     blocks = write_once(rows.mapInArrow(_pack_rows(anchor_every), _BLOCK_DDL), "blocks")
-    n_anchors = blocks.agg(F.sum("n_anchors")).first()[0] or 0
-    groups = max(1, -(-n_anchors // (ANCHORS // 2)))
+    anchor_bytes = F.col("n_anchors") * (F.col("dim") * COMPONENT_BYTES + ANCHOR_BYTES)
+    n_anchors, n_bytes = blocks.agg(F.coalesce(F.sum("n_anchors"), F.lit(0)), F.coalesce(F.sum(anchor_bytes), F.lit(0))).first()
+    groups = max(1, -(-n_anchors // (ANCHORS // 2)), -(-n_bytes // (BROADCAST_BYTES // 2)))
     group = F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("int")
     anchors = blocks.where("n_anchors > 0").mapInArrow(_pick_anchors(anchor_every), _ROWS_DDL)
     anchors = anchors.withColumn("dim", F.size("vector")).withColumn("ag", group)
-    near = write_once(_first(_met(blocks, anchors, groups, spread), ["anchor"]), "positives")
+    near = _searched(blocks, anchors, groups, ["anchor"])
     scores = near.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("s"))
     scores = scores.select(F.col("anchor").alias("uid"), F.col("s.score").alias("scores"))
-    found = _first(_met(blocks, anchors.join(scores, "uid"), groups, spread), ["anchor", "slot"])
+    found = _searched(blocks, anchors.join(scores, "uid"), groups, ["anchor", "slot"])
     positives = near.select("anchor", (F.col("rank") - 1).alias("slot"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
     names = anchors.select(F.col("uid").alias("anchor"), F.col("id").alias("anchor_id"))
     return found.join(positives, ["anchor", "slot"]).join(names, "anchor").select(

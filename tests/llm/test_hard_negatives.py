@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+from conftest import plan_of
 
 from sparkroute.llm import hard_negatives as hn
 
@@ -95,3 +96,27 @@ def test_bounds_spare_exact_scores():
     rows = hn.Block(hn._packed(np.arange(n), np.zeros(n, bool), np.zeros(n, np.int64), np.arange(n), x))
     best = hn.Best(hn.Block(hn._packed(np.arange(40), np.zeros(40, bool), np.zeros(40, np.int64), np.arange(40), x[:40])))
     assert best.add(rows) < 0.5 * 40 * n
+
+
+def test_anchors_take_turns(spark, monkeypatch):
+    monkeypatch.setattr(hn, "ANCHORS", 8)
+    monkeypatch.setattr(hn, "HELD", 3)
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0.1, 0.3) for _ in range(6)], rng.randrange(3)) for i in range(500)]
+    assert len(check(spark, rows, 5)) > 500  # 25 groups of anchors, three at a time
+
+
+def test_only_anchors_are_broadcast(spark, monkeypatch):
+    """However the sizes are estimated, what goes through the driver is one turn of anchors, not a copy for each group of rows."""
+    sent, plain = [], hn._met
+
+    def met(blocks, anchors, *rest):
+        out = plain(blocks, anchors, *rest)
+        plan = plan_of(out)
+        sent.append((plan.count("BroadcastHashJoin"), plan.count("Generate"), plan.count("Exchange hashpartitioning")))
+        return out
+
+    monkeypatch.setattr(hn, "_met", met)
+    rng = random.Random(9)
+    check(spark, [(i, [rng.gauss(0, 0.3) for _ in range(4)], i % 3) for i in range(200)], 10)
+    assert sent == [(1, 0, 0), (1, 0, 0)]
