@@ -260,4 +260,4 @@ def chunk_scan_some(spark, sf_dir):
     ends = spark.range(1, top // SOME_STEP + 1).select((F.col("id") * SOME_STEP).alias("max_key"))
     ends = ends.union(spark.range(1).select(F.lit(None).cast("bigint"))).withColumn("shard", F.lit("s"))
     keyed = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey")).alias("k"))
-    return read_chunks(keyed, chunk_ranges(ends), "k", only=list(range(0, top // SOME_STEP + 1, 2)))
+    return read_chunks(keyed, chunk_ranges(ends), "k", only=spark.range(0, top // SOME_STEP + 1, 2).select(F.col("id").alias(CHUNK)))
