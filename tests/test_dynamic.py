@@ -1,13 +1,16 @@
 """Documents without a schema: kept whole, keyed and ordered whatever their fields hold."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkroute.functions.dynamic import with_keys
-from sparkroute.functions.hashing import hash64
+from sparkroute.functions.hashing import KEY_TYPE, hash64
+from sparkroute.functions.keys import ShardKey, doc_bytes
+from sparkroute.operators.ordering import packed_files
 from sparkroute.operators.routing import route
 from sparkroute.operators.unique import keep_first, set_aside
 from sparkroute.operators.verify import diff_rows
@@ -15,6 +18,7 @@ from sparkroute.plans.chunks import chunk_ranges
 from sparkroute.plans.jobs import dump, load, load_dynamic, reshard, restore
 from sparkroute.session import scratch_dir
 from sparkroute.sinks.tables import read_chunk_table
+from sparkroute.sources.json_lines import shows_field
 
 KEYS = ['{"$minkey": 1}', "null", "-1e300", "-2", "-1.5", "0", "1", "1.25", '{"$numberLong": "7"}', "9007199254740992", "9007199254740993",
         "1e300", '""', '"NumberLng"', '"a"', '"é"', '{"a": 1}', '{"b": [1]}', "[1]", "[]", '{"$binary": "AAE=", "$type": "00"}',
@@ -109,3 +113,58 @@ def test_unique_keys_of_documents(spark):
     target = scratch_dir(spark, "unique")
     load(df, target, {"k": 1}, ["a"], unique="first")
     assert read_chunk_table(spark, target).count() == 3
+
+
+def test_key_hash_is_computed_once(spark):
+    """A hash in each branch, and twice in each, is what a whole load spent most of its time on."""
+    lines = ["1", "-1", "0.5", "-0.5", "1e300", "-1e300", "9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809",
+             "12345678901234567890.75", '"a"', '""', '"\u00e9"', "null", "true", "false", "[1]", "[]", '{"a": 1}', '{"$date": 5}', '{"$numberLong": "7"}',
+             '{"$oid": "0123456789abcdef01234567"}', '{"$timestamp": {"t": 3, "i": 4}}', '{"$minKey": 1}']
+    df = spark.createDataFrame([(i, f'{{"k": {x}}}') for i, x in enumerate(lines)] + [(99, "{}")], "i int, line string")
+    keyed = with_keys(df.select("i", F.parse_json("line").alias("doc")), {"k": "hashed"})
+    hashed, _ = ShardKey.parse({"k": "hashed"}).routed(keyed)
+    assert hashed._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    assert hashed.columns == [*keyed.columns, "key_hash"]
+    assert hashed.where(~F.col("key_hash").eqNullSafe(hash64(F.col("k"), KEY_TYPE))).count() == 0
+    hashes = {r.i: r.key_hash for r in hashed.collect()}
+    plain = spark.createDataFrame([(0, 1), (1, -1), (2, 0), (3, 0), (4, 2**63 - 1), (5, -(2**63)), (6, 2**63 - 1), (7, 2**63 - 1), (8, -(2**63)), (9, -(2**63)),
+                                   (10, 2**63 - 1), (21, 7)], "i int, n bigint")
+    assert all(hashes[r.i] == r.h for r in plain.select("i", hash64(F.col("n")).alias("h")).collect())
+    assert hashes[99] is None
+
+
+def test_dump_sorts_by_hash_before_texts(spark):
+    """A text of the whole document as the first sort column is made anew for each comparison."""
+    df = spark.range(100).selectExpr("id", "id % 3 AS chunk_id", "id % 50 + 1 AS n")
+    plan = packed_files(df, [F.col("n")], F.xxhash64("id"), F.col("n"), 1000)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"\[__spread#\d+L ASC NULLS FIRST, n#\d+L ASC NULLS FIRST\]", plan)
+
+
+def test_dump_measures_documents_as_before(spark, monkeypatch):
+    sizes = []
+
+    def planned(df, order, spread, size, *rest):
+        sizes.extend(df.select(size.alias("n"), doc_bytes(df.select("doc", "k")).alias("whole")).collect())
+        raise InterruptedError
+
+    monkeypatch.setattr("sparkroute.plans.jobs.packed_files", planned)
+    df = spark.createDataFrame([('{"k": 1, "v": "\u00e9\\n"}',), ('{"v": null, "k": [1, {"b": 2.50}]}',)], "line string").select(F.parse_json("line").alias("doc"))
+    with pytest.raises(InterruptedError):
+        dump(df, scratch_dir(spark, "measured"), {"k": "hashed"}, 3, file_bytes=1000)
+    assert len(sizes) == 2 and all(r.n == r.whole for r in sizes)
+
+
+SHOWN = ['{"_id": 1, "a": 2}', ' { "_id" : {"x": [1]}}', '{"a": {"_id": 3}, "_id": 2}', '{"a": 1, "_id": "x y"}', '{"a": 1,"_id":null }', '{"_id": 5}']
+UNCLEAR = ['{"a": 1, "_id": "x\\"y"}', '{"a": 1, "_id": [1]}', '{"a": 1, "_id": 3, "b": {}}', '{"a": 1, "\\u005fid": 4}']
+BARE = ['{"a": {"b": 1, "_id": 3}}', '{"a": "x, \\"_id\\": 3"}', '{"a": ", ", "x\\"_id": 3}', '{"a": [{"c": 0, "_id": 3}]}', "{}", '{"a": 1, "_id2": 3}',
+        '{"a": 1, "x, \\"_id": 3}', '{"a": ",\\"_id\\":3}"}', '{"_id2": {"_id": 1}}']
+
+
+def test_lines_that_show_their_id_are_parsed_once(spark):
+    lines = spark.createDataFrame([(x,) for x in [*SHOWN, *UNCLEAR, *BARE]], "value string")
+    assert {r.value for r in lines.where(shows_field(F.col("value"), "_id")).collect()} == set(SHOWN)
+    target = scratch_dir(spark, "shown")
+    load_dynamic(spark, lines_folder(spark, [*SHOWN, *UNCLEAR, *BARE, *BARE]), target, {"_id": "hashed"})
+    loaded = [json.loads(x) for x in texts(read_chunk_table(spark, target))]
+    made = [x["_id"]["$oid"] for x in loaded if isinstance(x["_id"], dict) and "$oid" in x["_id"]]
+    assert len(loaded) == len(SHOWN) + len(UNCLEAR) + 2 * len(BARE) and len(set(made)) == 2 * len(BARE)
